@@ -1,0 +1 @@
+"""No streaming operators: every job this library covers is a batch job."""
