@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,10 +26,17 @@ BINARY = (
 )
 STANDARD_SCALED = ("wind_direction", "temperature", "sea_level_pressure")
 MIN_MAX_SCALED = (
-    "CRS_ELAPSED_TIME", "DISTANCE", "visibility", "dew_point", "wind_speed", "gust_speed",
+    "CRS_ELAPSED_TIME", "DISTANCE", "visibility", "dew_point", "wind_speed", "wind_speed_quality",
     "HIST_ARR_DELAY", "HIST_DEP_DELAY", "origin_yr_flights", "dest_yr_flights",
 )
 CENTRALITY = "pagerank"
+# Groups of features in the order in which they are tried on top of each other.
+FEATURE_GROUPS = {
+    "baseline": ONE_HOT[:3] + BINARY[:3] + STANDARD_SCALED + MIN_MAX_SCALED[:6],
+    "history_and_volume": ONE_HOT[3:] + MIN_MAX_SCALED[6:],
+    "centrality": (CENTRALITY,),
+    "holiday_and_weather": BINARY[3:],
+}
 
 FLIGHTS_SCHEMA = T.StructType(
     [T.StructField(c, T.IntegerType()) for c in ("QUARTER", "MONTH", "DAY_OF_WEEK", "DAY_OF_MONTH", "YEAR")]
@@ -58,7 +65,6 @@ class FeatureSpec:
     label: str = LABEL
     # How rows are told apart; used to drop copies and to sample repeatably.
     row_id: str = "FLIGHT_ID"
-    groups: dict[str, tuple[str, ...]] = field(default_factory=dict, hash=False, compare=False)
 
     @property
     def numeric(self) -> tuple[str, ...]:
@@ -80,6 +86,13 @@ class FeatureSpec:
         """The same roles restricted to some columns."""
         return self.without(*(set(self.features) - set(names)))
 
+    def renamed(self, old: str, new: str) -> "FeatureSpec":
+        """The same roles with one column under another name."""
+        return replace(self, **{
+            role: tuple(new if c == old else c for c in getattr(self, role))
+            for role in ("one_hot", "binary", "standard", "min_max")
+        })
+
     def check(self, df: DataFrame) -> DataFrame:
         """Fail early, with all missing names at once."""
         missing = [c for c in (*self.features, self.label) if c not in df.columns]

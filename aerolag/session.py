@@ -17,6 +17,7 @@ def build_session(app: str = "aerolag", cores: int | None = None) -> SparkSessio
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("AEROLAG_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.session.timeZone", "UTC")
