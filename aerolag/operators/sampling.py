@@ -43,12 +43,12 @@ def undersample(
     return df.filter(F.col(label).isNotNull() & ((F.col(label) != larger) | chosen))
 
 
-def drop_copies(df: DataFrame, id_col: str | None = None) -> DataFrame:
-    """One row per id, or per full row where there is no id.
+def drop_copies(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """One row per key, or per full row where no key is given.
 
-    Without an id, rows that differ only in columns dropped earlier merge.
+    Without a key, rows that differ only in columns dropped earlier merge.
     """
-    return df.dropDuplicates([id_col]) if id_col else df.dropDuplicates()
+    return df.dropDuplicates(list(keys)) if keys else df.dropDuplicates()
 
 
 def time_holdout(df: DataFrame, test_year: int) -> tuple[DataFrame, DataFrame]:

@@ -137,6 +137,14 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flight_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight dates that fall on a holiday of the period."""
+    day = _ntz("ts").cast("date")
+    return table(spark, sf_dir, "events").select(day.alias("date")).filter(
+        F.date_format("date", "MM-dd").isin("01-01", "01-15")
+    ).distinct()
+
+
 def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flight per order, dated by the order."""
     return table(spark, sf_dir, "orders").select(

@@ -175,6 +175,39 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT id, pagerank, cast(CASE WHEN "QUARTER" < 4 THEN "YEAR" ELSE "YEAR" + 1 END AS integer) AS YEAR_NEW,
           cast(CASE WHEN "QUARTER" < 4 THEN "QUARTER" + 1 ELSE 1 END AS integer) AS QUARTER_NEW
         FROM ranks"""),
+    "day_edges": (("flights",), """
+        SELECT "YEAR", DAY_OF_MONTH AS d, ORIGIN AS src, DEST AS dst, count(*) AS flights FROM flights GROUP BY ALL"""),
+    "day_links": (("day_edges",), """
+        SELECT "YEAR", d, src, dst, flights / cast(sum(flights) OVER (PARTITION BY "YEAR", d, src) AS double) AS p
+        FROM day_edges"""),
+    "day_vertices": (("day_edges",), """
+        SELECT "YEAR", d, src AS id FROM day_edges UNION SELECT "YEAR", d, dst FROM day_edges"""),
+    "d0": (("day_vertices",), """SELECT *, 1e0 AS rank FROM day_vertices"""),
+    **{f"d{i}": ((f"d{i - 1}", "day_links"), f"""
+        SELECT v."YEAR", v.d, v.id, 0.15e0 + 0.85e0 * coalesce(sum(r.rank * l.p), 0) AS rank
+        FROM day_vertices v
+          LEFT JOIN day_links l ON l."YEAR" = v."YEAR" AND l.d = v.d AND l.dst = v.id
+          LEFT JOIN d{i - 1} r ON r."YEAR" = l."YEAR" AND r.d = l.d AND r.id = l.src
+        GROUP BY ALL""") for i in range(1, 6)},
+    "day_ranks": (("d5",), """
+        SELECT CASE WHEN d < 31 THEN "YEAR" ELSE "YEAR" + 1 END AS year_new,
+          CASE WHEN d < 31 THEN d + 1 ELSE d - 30 END AS d_new, id,
+          rank * count(*) OVER (PARTITION BY "YEAR", d) / sum(rank) OVER (PARTITION BY "YEAR", d) AS pagerank
+        FROM d5"""),
+    "features": (("parsed", "history_strict", "flight_volume", "day_ranks"), """
+        SELECT p.*, h.HIST_ARR_DELAY, h.HIST_ARR_FLT_NUM, h.HIST_DEP_DELAY, h.HIST_DEP_FLT_NUM,
+          o.avg_yr_flights AS origin_yr_flights, t.avg_yr_flights AS dest_yr_flights, k.pagerank,
+          CASE WHEN ceiling_height < 10000 THEN 1 ELSE 0 END AS ceiling_height_is_below_10000,
+          CASE WHEN ceiling_height >= 10000 AND ceiling_height < 20000 THEN 1 ELSE 0 END AS ceiling_height_is_between_10000_20000,
+          CASE WHEN ceiling_height >= 20000 THEN 1 ELSE 0 END AS ceiling_height_is_above_20000,
+          CASE WHEN AW1 <> '' THEN 1 ELSE 0 END + CASE WHEN AW2 <> '' THEN 1 ELSE 0 END
+            + CASE WHEN MW1 <> '' THEN 1 ELSE 0 END AS specWeather,
+          CASE WHEN EXISTS (SELECT 1 FROM (SELECT DISTINCT cast(ts AS date) AS d FROM events
+              WHERE strftime(ts, '%m-%d') IN ('01-01', '01-15'))
+            WHERE abs(datediff('day', d, cast(p.FL_DATE AS date))) <= 3) THEN 1 ELSE 0 END AS isHoliday
+        FROM parsed p JOIN history_strict h USING (FLIGHT_ID)
+          LEFT JOIN flight_volume o ON p.ORIGIN = o.airport LEFT JOIN flight_volume t ON p.DEST = t.airport
+          LEFT JOIN day_ranks k ON p."YEAR" = k.year_new AND p.DAY_OF_MONTH = k.d_new AND p.ORIGIN = k.id"""),
     "volume": (("routes",), """
         SELECT ORIGIN AS airport,
           count(*) / (SELECT cast(count(DISTINCT "YEAR") AS double) FROM routes WHERE "YEAR" <> 2001) AS avg_yr_flights
