@@ -78,13 +78,16 @@ def _ending(names: Sequence[str], end: str) -> list[str]:
     return [f"{c}_{end}" for c in names]
 
 
-def encoder_stages(spec: FeatureSpec, impute: str = "mean", scaling: str = "scaled") -> list:
+def encoder_stages(
+    spec: FeatureSpec, impute: str = "mean", scaling: str = "scaled", median_error: float = 0.001
+) -> list:
     """Stages from raw columns to one vector.
 
     Text becomes one-hot slots by falling frequency, with a slot for unseen and
     missing text; numbers are imputed with the training mean or median. With
     "scaled" they are then min-max scaled or standardised; with "shifted" they
-    are moved above zero instead, as Naive Bayes needs.
+    are moved above zero instead, as Naive Bayes needs. Medians are read from
+    sketches; ``median_error`` bounds their error in rank.
     """
     stages, parts = [], []
     if spec.one_hot:
@@ -96,7 +99,9 @@ def encoder_stages(spec: FeatureSpec, impute: str = "mean", scaling: str = "scal
     parts += spec.binary
     if spec.numeric:
         stages.append(Imputer(
-            strategy=impute, inputCols=list(spec.numeric), outputCols=_ending(spec.numeric, "imputed")))
+            strategy=impute, relativeError=median_error,
+            inputCols=list(spec.numeric), outputCols=_ending(spec.numeric, "imputed"),
+        ))
     if scaling == "shifted":
         if spec.numeric:
             stages.append(ShiftNonNegative(
@@ -119,8 +124,10 @@ def encoder_stages(spec: FeatureSpec, impute: str = "mean", scaling: str = "scal
     return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES)]
 
 
-def encoder_pipeline(spec: FeatureSpec, impute: str = "mean", scaling: str = "scaled") -> Pipeline:
-    return Pipeline(stages=encoder_stages(spec, impute, scaling))
+def encoder_pipeline(
+    spec: FeatureSpec, impute: str = "mean", scaling: str = "scaled", median_error: float = 0.001
+) -> Pipeline:
+    return Pipeline(stages=encoder_stages(spec, impute, scaling, median_error))
 
 
 def vector_width(df: DataFrame, col: str = FEATURES) -> int:

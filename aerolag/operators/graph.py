@@ -36,6 +36,7 @@ def pagerank(
     reset: float = 0.15,
     tol: float | None = 0.01,
     max_iter: int = 100,
+    steps_per_stage: int = 3,
 ) -> DataFrame:
     """PageRank of every season at once.
 
@@ -45,8 +46,9 @@ def pagerank(
     of any season moves by more than ``tol``, or after ``max_iter`` steps;
     ``tol=None`` takes exactly ``max_iter``. ``steps`` tells how many it took.
 
-    Every step is one join and one map-side combined sum, written to the stage
-    folder, so that neither the plan nor the lineage grows.
+    Every step is one join and one map-side combined sum. Ranks are written to
+    the stage folder every ``steps_per_stage`` steps, so that neither the plan
+    nor the lineage grows, and ``tol`` is looked at then.
     """
     by = list(by)
     edges = stage_table(edges, "edges")
@@ -55,23 +57,24 @@ def pagerank(
     # An edge of weight 0 to itself keeps airports without arrivals in the sum.
     links = edges.join(out, [*by, "src"]).select(*by, "src", "dst", (F.col("flights") / F.col("total")).alias("p"))
     links = stage_table(
-        links.unionByName(vertices.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"))),
+        links.unionByName(
+            vertices.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"))
+        ),
         "links",
     )
     ranks = vertices.withColumns({"rank": F.lit(1.0), "before": F.lit(None).cast("double")})
     ranks = stage_table(ranks, "ranks")
+    self_rank = F.max(F.when(F.col("src") == F.col("dst"), F.col("rank")))
     steps = 0
     while steps < max_iter:
-        old = ranks.select(*by, F.col("id").alias("src"), "rank")
-        self_rank = F.max(F.when(F.col("src") == F.col("dst"), F.col("rank")))
-        ranks = stage_table(
-            links.join(old, [*by, "src"]).groupBy(*by, F.col("dst").alias("id")).agg(
+        for _ in range(min(steps_per_stage, max_iter - steps)):
+            old = ranks.select(*by, F.col("id").alias("src"), "rank")
+            ranks = links.join(old, [*by, "src"]).groupBy(*by, F.col("dst").alias("id")).agg(
                 (F.lit(reset) + F.lit(1 - reset) * F.sum(F.col("rank") * F.col("p"))).alias("rank"),
                 self_rank.alias("before"),
-            ),
-            "ranks",
-        )
-        steps += 1
+            )
+            steps += 1
+        ranks = stage_table(ranks, "ranks")
         if tol is not None:
             moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("before"))).alias("d")).first()["d"]
             if moved is None or moved <= tol:

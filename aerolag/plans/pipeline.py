@@ -44,15 +44,16 @@ def build_features(
         graph.season_edges(flights, ("YEAR", season)), ("YEAR", season),
         tol=None if rank_steps else 0.01, max_iter=rank_steps or 100,
     )
-    known = enrich.shift_season(ranks, season, period).drop("steps")
+    known = stage_table(enrich.shift_season(ranks, season, period).drop("steps"), "centrality")
 
+    # History comes before the lookups, so that rows are narrow when shuffled.
     table = weather.parse_packed(flights, sentinels)
     table = weather.present_count(weather.band_flags(table))
+    table = history.add_utc_times(table, offsets, arrival_rule)
+    table = history.pick_history(history.lag_features(table), guard=guard)
     table = enrich.join_volume(table, volume)
     table = enrich.flag_near_dates(table, holidays)
     table = enrich.join_centrality(table, known, season)
-    table = history.add_utc_times(table, offsets, arrival_rule)
-    table = history.pick_history(history.lag_features(table), guard=guard)
     return table if keep_helpers else table.drop(*HELPERS)
 
 
