@@ -94,23 +94,32 @@ def exact_quantiles(
         if all(t.get("settled") for t in open_targets()):
             break
 
-    found = {}
-    if targets:
+    # Probabilities of one column whose brackets coincide are ranked together.
+    brackets = list(dict.fromkeys((t["col"], t["lo"], t["hi"]) for t in targets))
+    found: dict[tuple, list] = {}
+    if brackets:
+        wanted = {
+            b: sorted(t["rank"] - t["below"] for t in targets if (t["col"], t["lo"], t["hi"]) == b) for b in brackets
+        }
         marks = F.array_compact(F.array(*[
-            F.when(within(t), F.struct(F.lit(i).alias("target"), F.col(t["col"]).cast("double").alias("value")))
-            for i, t in enumerate(targets)
+            F.when(
+                F.col(c).between(lo, hi), F.struct(F.lit(i).alias("bracket"), F.col(c).cast("double").alias("value"))
+            )
+            for i, (c, lo, hi) in enumerate(brackets)
         ]))
-        need = F.element_at(F.array(*[F.lit(t["rank"] - t["below"]) for t in targets]), F.col("target") + 1)
-        upto = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranks = F.element_at(F.array(*[F.array(*[F.lit(r) for r in wanted[b]]) for b in brackets]), F.col("bracket") + 1)
+        upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
         picked = (
             df.select(F.explode(marks).alias("m")).select("m.*")
-            .groupBy("target", "value").agg(F.count("*").alias("n"))
+            .groupBy("bracket", "value").agg(F.count("*").alias("n"))
             .withColumn("reached", F.sum("n").over(upto))
-            .filter((F.col("reached") >= need) & (F.col("reached") - F.col("n") < need))
-            .collect()  # one row per target
+            .filter(F.exists(ranks, lambda r: (r <= F.col("reached")) & (r > F.col("reached") - F.col("n"))))
+            .collect()  # at most one row per target
         )
-        found = {row["target"]: row["value"] for row in picked}
+        for row in picked:
+            found.setdefault(brackets[row["bracket"]], []).append((row["reached"], row["value"]))
     result: dict[str, list[float]] = {c: [] for c in cols}
-    for i, t in enumerate(targets):
-        result[t["col"]].append(found[i])
+    for t in targets:
+        hits = sorted(found[(t["col"], t["lo"], t["hi"])])
+        result[t["col"]].append(next(v for reached, v in hits if reached >= t["rank"] - t["below"]))
     return result

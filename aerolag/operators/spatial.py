@@ -66,8 +66,12 @@ def nearest_station(
     grid = places.withColumns({c: _cell(F.col("lat"), F.col("lon"), side) for c, side in zip(ids, _SIDES)})
     grid = stage_table(grid, "grid")
 
-    points = airports.select(F.col(airport).alias("__a"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
-    points = points.filter(F.col("__lat").isNotNull() & F.col("__lon").isNotNull())
+    # One place per airport, however often the airport is listed.
+    points = (
+        airports.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        .groupBy(F.col(airport).alias("__a")).agg(F.min(F.struct("lat", "lon")).alias("at"))
+        .select("__a", F.col("at.lat").alias("__lat"), F.col("at.lon").alias("__lon"))
+    )
     top = round(180 / _SIDES[0]) * round(360 / _SIDES[0])
     walk = points.withColumn("c0", F.explode(F.sequence(F.lit(0), F.lit(top - 1)).cast("array<bigint>"))).join(
         grid.select("c0").distinct(), "c0"
