@@ -20,7 +20,7 @@ def local_timestamp(day: Column, hhmm: Column) -> Column:
     hour = F.floor(clock / F.lit(100)).cast("int")
     minute = F.pmod(clock, F.lit(100))
     valid = (clock >= 0) & (minute < 60) & (clock <= 2400)
-    start = F.try_to_date(day, "yyyy-MM-dd").cast("timestamp_ntz")
+    start = day.try_cast("date").cast("timestamp_ntz")
     return F.when(valid, start + F.make_dt_interval(F.lit(0), hour, minute))
 
 

@@ -56,7 +56,7 @@ def flag_near_dates(
     near = dates.select(
         F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days))).alias("day")
     ).distinct().withColumn("near", F.lit(1))
-    dated = df.withColumn("__day", F.try_to_date(F.col(day_col).cast("string"), "yyyy-MM-dd"))
+    dated = df.withColumn("__day", F.col(day_col).try_cast("date"))
     flagged = lookup_join(dated, near, {"__day": "day"}, {"near": "__near"})
     return flagged.withColumn(out, F.coalesce("__near", F.lit(0))).drop("__day", "__near")
 

@@ -26,8 +26,7 @@ def season_edges(df: DataFrame, by: Sequence[str] = SEASON) -> DataFrame:
 
 def season_vertices(edges: DataFrame, by: Sequence[str] = SEASON) -> DataFrame:
     """Airports that appear at either end of an edge, per season."""
-    ends = [edges.select(*by, F.col(end).alias("id")) for end in ("src", "dst")]
-    return ends[0].union(ends[1]).distinct()
+    return edges.select(*by, F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def pagerank(

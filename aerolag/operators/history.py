@@ -135,6 +135,15 @@ def lag_features(
     )
 
 
+def history_gaps(df: DataFrame, now: str = "CRS_DEP_DATETIME_UTC", n: int = 3) -> DataFrame:
+    """Whole minutes from each past arrival and departure to the scheduled one,
+    as ``PREV_ARR_TIME_DIFF_<i>`` and ``PREV_DEP_TIME_DIFF_<i>``."""
+    return df.withColumns({
+        f"PREV_{side}_TIME_DIFF_{i}": whole_minutes(F.col(now), F.col(f"PREV_{side}_DATETIME_UTC_{i}"))
+        for side in ("ARR", "DEP") for i in range(1, n + 1)
+    })
+
+
 def pick_history(
     df: DataFrame,
     now: str = "CRS_DEP_DATETIME_UTC",
@@ -152,19 +161,23 @@ def pick_history(
     if guard not in ("strict", "reference"):
         raise ValueError(f"unknown guard {guard!r}")
     out = {}
+    # A gap of at least the guard is a time at or before this one.
+    deadline = F.col(now) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(guard_min))
     for side in ("ARR", "DEP"):
-        gap = {
-            i: whole_minutes(F.col(now), F.col(f"PREV_{side}_DATETIME_UTC_{i}")) for i in range(1, n + 1)
-        }
-        checked = range(1, n + 1) if guard == "strict" else range(1, n)
-        delay = number = None
-        nearer_recent = F.lit(True)
-        for i in checked:
-            old_enough = (gap[i] >= guard_min) & (nearer_recent if guard == "reference" else F.lit(True))
-            value = F.col(f"PREV_{side}_DELAY_{i}")
-            delay = F.when(old_enough, value) if delay is None else delay.when(old_enough, value)
-            number = F.when(old_enough, i) if number is None else number.when(old_enough, i)
-            nearer_recent = nearer_recent & (gap[i] < guard_min)
+        known = {i: F.col(f"PREV_{side}_DATETIME_UTC_{i}") <= deadline for i in range(1, n + 1)}
+        if guard == "strict":
+            tests = known
+        else:
+            tests, nearer_recent = {}, F.lit(True)
+            for i in range(1, n):
+                tests[i] = known[i] & nearer_recent
+                nearer_recent = nearer_recent & ~known[i]
+        first, *others = tests
+        delay = F.when(tests[first], F.col(f"PREV_{side}_DELAY_{first}"))
+        number = F.when(tests[first], first)
+        for i in others:
+            delay = delay.when(tests[i], F.col(f"PREV_{side}_DELAY_{i}"))
+            number = number.when(tests[i], i)
         if guard == "reference":
             delay, number = delay.otherwise(F.col(f"PREV_{side}_DELAY_{n}")), number.otherwise(n)
         out[f"HIST_{side}_DELAY"], out[f"HIST_{side}_FLT_NUM"] = delay, number

@@ -135,6 +135,15 @@ def _(spark, d):
     return lagged.select("FLIGHT_ID", "PREV_DEP_DELAY_1")
 
 
+_GAPS = tuple(f"PREV_{s}_TIME_DIFF_{i}" for s in ("ARR", "DEP") for i in (1, 2, 3))
+
+
+@query("history_gaps", sql("SELECT FLIGHT_ID, " + ", ".join(
+    f"cast(gap_{s}_{i} AS integer) AS PREV_{s}_TIME_DIFF_{i}" for s in ("ARR", "DEP") for i in (1, 2, 3)) + " FROM gaps", "gaps"))
+def _(spark, d):
+    return history.history_gaps(history.lag_features(with_utc(spark, d))).select("FLIGHT_ID", *_GAPS)
+
+
 _HIST = ("HIST_ARR_DELAY", "HIST_ARR_FLT_NUM", "HIST_DEP_DELAY", "HIST_DEP_FLT_NUM")
 
 
