@@ -14,7 +14,7 @@ from aerolag.schema import AIRCRAFT
 from aerolag.sources.stage import stage_table
 
 # Rows of one key that a single window task is given before the key is cut.
-KEY_ROWS = 5_000_000
+KEY_ROWS = 1_000_000
 
 
 def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual") -> DataFrame:

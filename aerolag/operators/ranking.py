@@ -45,69 +45,72 @@ def exact_quantiles(
 ) -> dict[str, list[float]]:
     """The ``ceil(p * n)``-th smallest non-null value per column and probability.
 
-    Columns without values give an empty list. Each wanted rank is narrowed to
-    a bracket of values by sketches (one map-side combined aggregate over all
-    columns per round, no shuffle of rows) until at most ``window_rows`` rows
-    lie in the bracket; only those are counted by value and ranked.
+    Columns without values give an empty list. Columns with at most
+    ``window_rows`` different values are counted by value and ranked at once.
+    Others are first narrowed to a bracket of values around each wanted rank,
+    by sketches over all columns together, until that few rows lie in it. All
+    steps combine before they shuffle, and no step moves whole rows.
     """
     head = df.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
-        .alias(c)
+        F.struct(
+            F.count(c).alias("n"), F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
+            F.approx_count_distinct(c).alias("kinds"),
+        ).alias(c)
         for c in cols
     ]).first()
     targets = [
-        {"col": c, "prob": p, "rank": max(1, ceil(round(p * head[c]["n"], 9))), "below": 0,
-         "inside": head[c]["n"], "lo": head[c]["lo"], "hi": head[c]["hi"]}
+        {
+            "col": c, "rank": max(1, ceil(round(p * head[c]["n"], 9))), "lo": head[c]["lo"], "hi": head[c]["hi"],
+            "below": 0, "inside": head[c]["n"],
+            # The distinct count is off by up to a fifth in rare cases.
+            "kinds": min(head[c]["n"], int(1.2 * head[c]["kinds"])),
+        }
         for c in cols if head[c]["n"] for p in probs
     ]
 
-    def within(t: dict) -> Column:
-        return F.col(t["col"]).between(t["lo"], t["hi"])
+    def bracket(t: dict) -> tuple:
+        return t["col"], t["lo"], t["hi"]
+
+    def within(b: tuple) -> Column:
+        return F.col(b[0]).between(b[1], b[2])
 
-    def open_targets() -> list[dict]:
-        return [t for t in targets if t["inside"] > window_rows and t["lo"] < t["hi"]]
+    while todo := [t for t in targets if t["kinds"] > window_rows]:
+        shared = {b: [t for t in todo if bracket(t) == b] for b in dict.fromkeys(map(bracket, todo))}
+
+        def edges(t: dict) -> list[float]:
+            middle = (t["rank"] - t["below"]) / t["inside"]
+            return [max(0.0, middle - 2.0 / accuracy), min(1.0, middle + 2.0 / accuracy)]
 
-    while todo := open_targets():
         sketches = df.agg(*[
             F.percentile_approx(
-                F.when(within(t), F.col(t["col"]).cast("double")),
-                [min(1.0, max(0.0, (t["rank"] - t["below"]) / t["inside"] + side * 2.0 / accuracy)) for side in (-1, 1)],
-                accuracy,
-            ).alias(f"t{i}")
-            for i, t in enumerate(todo)
+                F.when(within(b), F.col(b[0]).cast("double")), [e for t in group for e in edges(t)], accuracy
+            ).alias(f"b{i}")
+            for i, (b, group) in enumerate(shared.items())
         ]).first()
-        brackets = [dict(t, lo=sketches[i][0], hi=sketches[i][1]) for i, t in enumerate(todo)]
+        for sketch, group in zip(sketches, shared.values()):
+            for i, t in enumerate(group):
+                t["lo"], t["hi"] = sketch[2 * i], sketch[2 * i + 1]
         counts = df.agg(*[
-            F.struct(
-                F.count_if(F.col(b["col"]) < b["lo"]).alias("below"), F.count_if(within(b)).alias("inside")
-            ).alias(f"t{i}")
-            for i, b in enumerate(brackets)
+            F.struct(F.count_if(F.col(t["col"]) < t["lo"]), F.count_if(within(bracket(t)))).alias(f"t{i}")
+            for i, t in enumerate(todo)
         ]).first()
-        for i, (t, b) in enumerate(zip(todo, brackets)):
-            below, inside = counts[i]["below"], counts[i]["inside"]
+        for t, (below, inside) in zip(todo, counts):
             if not below < t["rank"] <= below + inside:
-                raise RuntimeError(f"sketch of {t['col']} missed its rank; raise accuracy")
-            if inside == t["inside"]:
-                # Heavy ties at both ends: the ranking below groups by value.
-                t["settled"] = True
-            t.update(lo=b["lo"], hi=b["hi"], below=below, inside=inside)
-        if all(t.get("settled") for t in open_targets()):
-            break
+                raise RuntimeError(f"a sketch of {t['col']} missed its rank; raise the accuracy")
+            # No fewer rows than before means ties, which are few values.
+            t["kinds"] = inside if inside < t["inside"] else 0
+            t["below"], t["inside"] = below, inside
 
     # Probabilities of one column whose brackets coincide are ranked together.
-    brackets = list(dict.fromkeys((t["col"], t["lo"], t["hi"]) for t in targets))
+    brackets = list(dict.fromkeys(map(bracket, targets)))
     found: dict[tuple, list] = {}
     if brackets:
-        wanted = {
-            b: sorted(t["rank"] - t["below"] for t in targets if (t["col"], t["lo"], t["hi"]) == b) for b in brackets
-        }
+        wanted = [[t["rank"] - t["below"] for t in targets if bracket(t) == b] for b in brackets]
         marks = F.array_compact(F.array(*[
-            F.when(
-                F.col(c).between(lo, hi), F.struct(F.lit(i).alias("bracket"), F.col(c).cast("double").alias("value"))
-            )
-            for i, (c, lo, hi) in enumerate(brackets)
+            F.when(within(b), F.struct(F.lit(i).alias("bracket"), F.col(b[0]).cast("double").alias("value")))
+            for i, b in enumerate(brackets)
         ]))
-        ranks = F.element_at(F.array(*[F.array(*[F.lit(r) for r in wanted[b]]) for b in brackets]), F.col("bracket") + 1)
+        ranks = F.element_at(F.array(*[F.array(*[F.lit(r) for r in w]) for w in wanted]), F.col("bracket") + 1)
         upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
         picked = (
             df.select(F.explode(marks).alias("m")).select("m.*")
@@ -120,6 +123,6 @@ def exact_quantiles(
             found.setdefault(brackets[row["bracket"]], []).append((row["reached"], row["value"]))
     result: dict[str, list[float]] = {c: [] for c in cols}
     for t in targets:
-        hits = sorted(found[(t["col"], t["lo"], t["hi"])])
+        hits = sorted(found[bracket(t)])
         result[t["col"]].append(next(v for reached, v in hits if reached >= t["rank"] - t["below"]))
     return result
