@@ -39,7 +39,7 @@ def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual
     })
 
 
-def _cut_points(df: DataFrame, key: str, stamp: Column, key_rows: int) -> DataFrame | None:
+def _cut_points(df: DataFrame, key: str, order: str, key_rows: int) -> DataFrame | None:
     """Times that cut each oversized key into runs of about ``key_rows`` rows.
 
     Null when no key is oversized. There are at most (rows / key_rows) such
@@ -52,7 +52,7 @@ def _cut_points(df: DataFrame, key: str, stamp: Column, key_rows: int) -> DataFr
     parts = ceil(largest / key_rows)
     big = df.join(broadcast_if_small(sizes.select(key)), key, "left_semi")
     return big.groupBy(key).agg(F.array_distinct(F.percentile_approx(
-        stamp, [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
+        F.col(order), [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
     )).alias("__cuts"))
 
 
@@ -90,27 +90,20 @@ def lag_features(
         inside = F.col("__alone").isNull()
         return frame.select("*", *[F.when(inside, F.lag(c, i).over(window)).alias(out) for c, i, out in names])
 
-    # Microseconds on the clock, free of any zone; null times sort first.
-    since = F.col(order) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    stamp = (
-        F.extract(F.lit("DAY"), since).cast("bigint") * 86_400_000_000
-        + F.extract(F.lit("HOUR"), since).cast("bigint") * 3_600_000_000
-        + F.extract(F.lit("MINUTE"), since).cast("bigint") * 60_000_000
-        + (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("bigint")
-    )
-    cuts = _cut_points(df.filter(usable), key, stamp, key_rows)
+    cuts = _cut_points(df.filter(usable), key, order, key_rows)
     if cuts is None:
         return lagged(rows).drop("__alone")
 
     # The run of a row is the number of cuts at or before its time.
     cuts = stage_table(cuts, "cuts")
-    earlier = F.size(F.filter("__cuts", lambda c: c <= F.col("__stamp")))
+    earlier = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col(order))), F.lit(0))
     runs = (
         rows.join(broadcast_if_small(cuts), key, "left")
-        .withColumn("__stamp", stamp)
-        .withColumn("__run", F.when(F.col("__cuts").isNotNull(), earlier).otherwise(0))
-        .withColumn("__cut", F.col("__cuts").isNotNull() & F.col("__alone").isNull())
-        .drop("__cuts", "__stamp")
+        .withColumns({
+            "__run": F.when(F.col("__cuts").isNotNull(), earlier).otherwise(0),
+            "__cut": F.col("__cuts").isNotNull() & F.col("__alone").isNull(),
+        })
+        .drop("__cuts")
     )
     seen = list(dict.fromkeys([key, order, tie, *cols]))
     newest = Window.partitionBy(key, "__run").orderBy(F.desc(order), F.desc(tie))

@@ -8,6 +8,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# The JVM never compiles methods of more than 8000 bytes of bytecode and runs
+# them in its interpreter. Wide feature rows easily make Spark generate one; at
+# this limit Spark falls back to smaller methods, which is several times faster.
+METHOD_LIMIT_KEY = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT = "8000"
 
 
 def build_session(app: str = "aerolag", cores: int | None = None) -> SparkSession:
@@ -27,6 +32,13 @@ def build_session(app: str = "aerolag", cores: int | None = None) -> SparkSessio
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return tune(spark)
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set what jobs over wide rows need, unless the session already did."""
+    if spark.conf.get(METHOD_LIMIT_KEY, "65535") == "65535":
+        spark.conf.set(METHOD_LIMIT_KEY, METHOD_LIMIT)
     return spark
 
 
