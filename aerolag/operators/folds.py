@@ -63,10 +63,11 @@ def assign_folds(
     ).select(order, tie, "start", F.coalesce("kept_before", F.lit(0)).alias("kept_before"))
     ranked = global_position(near, [F.asc_nulls_first(order), tie])
     position = F.col("start") + F.col("position") - 1 - F.col("kept_before")
-    keys = {
-        r["at"]: (r[order], r[tie])
-        for r in ranked.withColumn("at", position).filter(F.col("at").isin(edges)).collect()  # one row per edge
-    }
+    # One row per edge. Times travel as text, which no zone setting can move.
+    found = ranked.withColumn("at", position).filter(F.col("at").isin(edges)).select(
+        "at", F.col(order).cast("string").alias("when"), F.col(tie).alias("ident")
+    )
+    keys = {r["at"]: (r["when"], r["ident"]) for r in found.collect()}
 
     def from_edge(p: int) -> Column:
         """True on rows at or after the row in position ``p``."""

@@ -81,3 +81,17 @@ def test_histogram_counts_kept_rows(spark):
     assert len(rows) == 30 and sum(r["n"] for r in rows) == 2000
     constant = profile.histogram(spark.createDataFrame([(2.0,)] * 5, "v double"), "v")
     assert sum(r["n"] for r in constant.collect()) == 5
+
+
+def test_folds_ignore_the_session_zone(spark):
+    start = F.lit("2020-03-08 01:00:00").cast("timestamp_ntz")
+    df = spark.range(1000).select(
+        F.col("id").alias("FLIGHT_ID"), (start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int"))).alias("DEP_TS"))
+    here = sorted(map(tuple, folds.assign_folds(df).drop("DEP_TS").collect()))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        there = sorted(map(tuple, folds.assign_folds(df).drop("DEP_TS").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert here == there
