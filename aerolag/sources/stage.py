@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.session import stage_root
 
@@ -18,10 +18,43 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     Cuts lineage, survives the loss of any executor, and fixes the outcome of
     range-partitioned sorts, so that several readers see the same rows.
     """
-    spark = df.sparkSession
-    path = f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Stages(df.sparkSession).put(df, label)
+
+
+class Stages:
+    """Stage tables of one job.
+
+    ``put`` writes a table and reads it back, ``drop`` deletes one that nothing
+    reads any more, and leaving a ``with`` block deletes all but those kept.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def put(self, df: DataFrame, label: str = "stage") -> DataFrame:
+        path = f"{stage_root(self.spark)}/{self.spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave ``df`` for readers after the block."""
+        del self.paths[id(df)]
+        return df
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            _, path = self.paths.pop(id(df))
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.drop(*[df for df, _ in self.paths.values()])
 
 
 @contextmanager
