@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import simhash
+from aerolag.llm import pii, secrets, shards, simhash
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,18 @@ def query(name: str, oracle: str | None = None):
 @query("op8_simhash_pivots")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+@query("op4_secret_ledger")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op5_jump_hash_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"), 8)
+
+
+@query("op9_pii_spans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
