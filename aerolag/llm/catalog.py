@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import pii, secrets, shards, simhash
+from aerolag.llm import decontaminate, fixity, pii, secrets, shards, simhash, urls
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_pii_spans")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+@query("op3_url_filter_cascade", urls.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op6_merkle_fixity", fixity.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the pages against a replica with known damage."""
+    pages = table(spark, sf_dir, "pages")
+    found = fixity.audit(fixity.records(pages), fixity.records(fixity.damaged(pages)))
+    return found.withColumnRenamed("id", "page_id")
+
+
+@query("op10_qgram_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark text in a document."""
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
