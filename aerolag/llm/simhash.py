@@ -79,11 +79,12 @@ def block_masks(n: int, distance: int) -> list[int]:
     """One mask per choice of blocks that must agree, for ``n`` fingerprints.
 
     More blocks make keys longer and keep the expected number of strangers that
-    share a key below one; every choice of blocks is exact.
+    share a key below one; every choice of blocks is exact. The first step up
+    comes at tens of millions of fingerprints.
     """
     if distance >= WIDTH:
         return [0]
-    blocks = distance + 1
+    blocks = distance + 2
     while blocks < 2 * distance + 2 and n > 2 ** ((blocks - distance) * WIDTH // blocks):
         blocks += 1
     edges = [round(i * WIDTH / blocks) for i in range(blocks + 1)]
