@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import decontaminate, fixity, pii, secrets, shards, simhash, urls
+from aerolag.llm import decontaminate, fixity, packing, pii, secrets, shards, simhash, toxicity, urls
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of a benchmark text in a document."""
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_cutting_stock_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity_gbt")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; labels of the held-out rows are not seen."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scorer = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    out = toxicity.score_documents(docs, scorer)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
