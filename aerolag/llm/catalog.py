@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import decontaminate, fixity, packing, pii, secrets, shards, simhash, toxicity, urls
+from aerolag.llm import cws, decontaminate, fixity, packing, pii, secrets, shards, simhash, toxicity, urls
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = toxicity.fit(docs, labels.where(~toxicity.held_out()))
     out = toxicity.score_documents(docs, scorer)
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op1_weighted_sampling")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.compare_with_edits(table(spark, sf_dir, "documents"))
