@@ -141,7 +141,3 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
-
-def distinct_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """The distinct ids of a table as the one column __id, to join by."""
-    return df.select(F.col(id_col).alias("__id")).distinct()

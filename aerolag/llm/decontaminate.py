@@ -20,8 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.llm.common import distinct_ids
-
 Q = 8
 EDIT_RATE = 0.1
 # A block of the benchmark holds at most so many characters: the bound on what is broadcast.
@@ -269,42 +267,62 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     id_kind = docs.schema[id_col].dataType.simpleString()
     item_kind = bench.schema[item_col].dataType.simpleString()
     schema = f"`{id_col}` {id_kind}, `{item_col}` {item_kind}, start int, `end` int, edits int, item_chars int"
-    narrow = docs.where(F.length(text_col) >= Q // 2).select(F.col(id_col), F.col(text_col))
+    narrow = docs.select(F.col(id_col), F.col(text_col))
     out = spark.createDataFrame([], schema)
-    for block in _blocks(bench, item_col, text_col, block_chars):
+    for block in _blocks(bench, item_col, "text", block_chars):
         shared = spark.sparkContext.broadcast(build_index(block, rate))
-        out = out.unionByName(narrow.mapInArrow(_search(shared, schema_names(id_col, item_col)), schema))
+        names = [id_col, item_col, "start", "end", "edits", "item_chars"]
+        out = out.unionByName(narrow.mapInArrow(_search(shared, names), schema))
     return out
 
 
-def schema_names(id_col: str, item_col: str) -> list[str]:
-    return [id_col, item_col, "start", "end", "edits", "item_chars"]
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of a column in slices of whole documents, each about SLICE bytes at most."""
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in texts], np.int64)
+    at = 0
+    while at < len(sizes):
+        end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), SLICE)))
+        yield at, [t or "" for t in texts[at:end].to_pylist()]
+        at = end
 
 
 def _search(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1])
-            at = 0
-            while at < len(ids):  # bounded slices of whole documents
-                end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), SLICE)))
-                part = texts[at:end].to_pylist()
+            ids = batch.column(0)
+            for at, part in _slices(batch.column(1)):
                 rows = occurrences(part, index)
-                cols = [[ids[at + d] for d, *_ in rows], [index.ids[i] for _, i, *_ in rows],
-                        [r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows],
-                        [len(index.points[r[1]]) for r in rows]]
                 if rows:
-                    kinds = [batch.schema.field(0).type, None, pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
-                at = end
+                    doc, item, start, end, edits = (list(c) for c in zip(*rows))
+                    sizes = [len(index.points[i]) for i in item]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array([at + d for d in doc], pa.int64())), pa.array([index.ids[i] for i in item]),
+                         *[pa.array(c, pa.int32()) for c in (start, end, edits, sizes)]], names=names)
+
+    return run
+
+
+def _without_hits(shared, place: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            for at, part in _slices(batch.column(place)):
+                for doc, *_ in occurrences(part, shared.value):
+                    clean[at + doc] = False
+            yield batch.filter(pa.array(clean))
 
     return run
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id") -> DataFrame:
-    """Documents in which no benchmark text occurs, with all their columns."""
-    hit = find_passages(docs, bench, id_col, text_col, item_col)
-    return docs.join(distinct_ids(hit, id_col), docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
+def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Documents in which no benchmark text occurs, with all their columns; no shuffle.
+
+    Null texts stay, repeated rows stay or go together.
+    """
+    out, place = docs, docs.columns.index(text_col)
+    for block in _blocks(bench, item_col, "text", block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(build_index(block, rate))
+        out = out.mapInArrow(_without_hits(shared, place), docs.schema)
+    return out

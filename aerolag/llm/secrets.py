@@ -91,20 +91,27 @@ def scan(versions: DataFrame, text_col: str, ledger: DataFrame | None = None,
     return fresh.select("blob", "x.rule", "x.version", "x.hits")
 
 
-def findings(versions: DataFrame, id_col: str, text_col: str, ledger: DataFrame,
-             rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(id, hits) of every version: its blob's hits under the given rules, empty where none.
+def with_hits(versions: DataFrame, blob: Column, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Add __hits: the hits of a row's blob under the given rules, empty where none.
 
-    Rows that repeat are kept. A blob with hits may hold many paths.
+    Blobs with hits may hold many paths. Their paths are counted before any
+    shuffle, and blobs with very many are broadcast.
     """
     current = F.concat_ws(":", "rule", "version").isin([f"{r.name}:{r.version}" for r in rules])
-    hit = ledger.where(current & (F.size("hits") > 0)).groupBy("blob").agg(
-        F.flatten(F.collect_list("hits")).alias("hits"))
+    hit = ledger.where(current & (F.size("hits") > 0)).groupBy(F.col("blob").alias("__blob")).agg(
+        F.flatten(F.collect_list("hits")).alias("__hits"))
+    paths = versions.withColumn("__blob", blob)
+    sizes = paths.groupBy("__blob").agg(F.count("*").alias("__n"))
+    hit = Stages(versions.sparkSession).put(hit.join(sizes, "__blob"), "hits")
+    found = skew_join(paths, hit, "__blob", "__n", "left")
+    return found.withColumn("__hits", F.coalesce("__hits", F.array().cast(f"array<{SPAN}>"))).drop("__blob")
+
+
+def findings(versions: DataFrame, id_col: str, text_col: str, ledger: DataFrame,
+             rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(id, hits) of every version. Rows that repeat are kept."""
     paths = versions.select(F.col(id_col).alias("id"), blob_id(F.col(text_col)).alias("blob"))
-    sizes = paths.join(hit.select("blob"), "blob").groupBy("blob").agg(F.count("*").alias("n"))
-    hit = Stages(versions.sparkSession).put(hit.join(sizes, "blob"), "hits")
-    found = skew_join(paths, hit, "blob", "n", "left")
-    return found.select("id", F.coalesce("hits", F.array().cast(f"array<{SPAN}>")).alias("hits"))
+    return with_hits(paths, F.col("blob"), ledger, rules).select("id", F.col("__hits").alias("hits"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -143,3 +150,10 @@ def redact(text: Column, hits: Column, mark: str = "[SECRET]") -> Column:
     tail = F.aggregate(sorted_hits, start, step,
                        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(hits) == 0, text).otherwise(tail)
+
+
+def redact_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """All rows and columns, with secrets replaced in the text; a null text stays null."""
+    ledger = Stages(docs.sparkSession).put(scan(docs, text_col, None, rules), "ledger")
+    found = with_hits(docs, blob_id(F.col(text_col)), ledger, rules)
+    return found.withColumn(text_col, redact(F.col(text_col), F.col("__hits"))).select(*docs.columns)
