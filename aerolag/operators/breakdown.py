@@ -50,12 +50,26 @@ def label_breakdown_joined(df: DataFrame, dim: str, label: str = LABEL) -> DataF
 
 
 def binned_breakdown(
-    df: DataFrame, col: str, width: int = 10, cap: int = 50, label: str = LABEL
+    df: DataFrame, col: str, width: int = 10, cap: int | None = None, beyond: str = "last", label: str = LABEL
 ) -> DataFrame:
-    """Breakdown by fixed-width bins; values past the last bin are left out."""
+    """Breakdown by fixed-width bins, all of them unless ``cap`` names the last.
+
+    Values past the last bin go into one more bin that follows it, so that the
+    totals agree; ``beyond="drop"`` leaves them out, as the published charts do.
+    """
+    if beyond not in ("last", "drop"):
+        raise ValueError(f"unknown treatment {beyond!r}")
     name = f"{col}_bin"
-    binned = df.withColumn(name, floor_bin(F.col(col), width)).filter(F.col(name) <= cap)
-    return label_breakdown(binned, name, label).withColumn("bin_label", bin_label(F.col(name), width))
+    binned = df.withColumn(name, floor_bin(F.col(col), width))
+    if cap is not None and beyond == "drop":
+        binned = binned.filter(F.col(name) <= cap)
+    elif cap is not None:
+        more = F.lit(cap + width).cast(binned.schema[name].dataType)
+        binned = binned.withColumn(name, F.when(F.col(name) > cap, more).otherwise(F.col(name)))
+    text = bin_label(F.col(name), width)
+    if cap is not None:
+        text = F.when(F.col(name) > cap, F.concat(F.lit(str(cap + width)), F.lit(" and more"))).otherwise(text)
+    return label_breakdown(binned, name, label).withColumn("bin_label", text)
 
 
 def named(df: DataFrame, code: str, names: dict[int, str], out: str) -> DataFrame:

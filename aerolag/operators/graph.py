@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.functions.scalar import ratio
-from aerolag.sources.stage import stage_table
+from aerolag.sources.stage import Stages
 
 SEASON = ("YEAR", "QUARTER")
 
@@ -34,7 +34,7 @@ def pagerank(
     by: Sequence[str] = SEASON,
     reset: float = 0.15,
     tol: float | None = 0.01,
-    max_iter: int = 100,
+    max_iter: int = 1000,
     steps_per_stage: int = 3,
 ) -> DataFrame:
     """PageRank of every season at once.
@@ -42,30 +42,48 @@ def pagerank(
     Each flight is an edge of its own, so a step from an airport follows its
     flights in proportion to their number. Ranks start at 1 and are scaled in
     the end to sum to the number of airports of the season. Stops when no rank
-    of any season moves by more than ``tol``, or after ``max_iter`` steps;
-    ``tol=None`` takes exactly ``max_iter``. ``steps`` tells how many it took.
+    of any season moves by more than ``tol``; ranks that still move after
+    ``max_iter`` steps are an error. ``tol=None`` takes exactly ``max_iter``.
+    ``steps`` tells how many it took.
 
     Every step is one join and one map-side combined sum. Ranks are written to
     the stage folder every ``steps_per_stage`` steps, so that neither the plan
-    nor the lineage grows, and ``tol`` is looked at then.
+    nor the lineage grows, and ``tol`` is looked at then. Only the last ranks
+    stay in the folder.
     """
     by = list(by)
-    edges = stage_table(edges, "edges")
+    with Stages(edges.sparkSession) as stages:
+        ranks, steps = _iterate(stages, edges, by, reset, tol, max_iter, steps_per_stage)
+        ranks = stages.keep(ranks)
+    totals = ranks.groupBy(*by).agg((F.count("*") / F.sum("rank")).alias("scale"))
+    return ranks.join(totals, by).select(
+        *by, "id", (F.col("rank") * F.col("scale")).alias("pagerank"), F.lit(steps).alias("steps")
+    )
+
+
+def _iterate(
+    stages: Stages, edges: DataFrame, by: list[str], reset: float, tol: float | None, max_iter: int,
+    steps_per_stage: int,
+) -> tuple[DataFrame, int]:
+    """The last stage table of ranks, and the number of steps."""
+    edges = stages.put(edges, "edges")
     out = edges.groupBy(*by, "src").agg(F.sum("flights").alias("total"))
     vertices = season_vertices(edges, by)
     # An edge of weight 0 to itself keeps airports without arrivals in the sum.
     links = edges.join(out, [*by, "src"]).select(*by, "src", "dst", (F.col("flights") / F.col("total")).alias("p"))
-    links = stage_table(
+    links = stages.put(
         links.unionByName(
             vertices.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("p"))
         ),
         "links",
     )
     ranks = vertices.withColumns({"rank": F.lit(1.0), "before": F.lit(None).cast("double")})
-    ranks = stage_table(ranks, "ranks")
+    ranks = stages.put(ranks, "ranks")
     self_rank = F.max(F.when(F.col("src") == F.col("dst"), F.col("rank")))
     steps = 0
+    moved = None
     while steps < max_iter:
+        earlier = ranks
         for _ in range(min(steps_per_stage, max_iter - steps)):
             old = ranks.select(*by, F.col("id").alias("src"), "rank")
             ranks = links.join(old, [*by, "src"]).groupBy(*by, F.col("dst").alias("id")).agg(
@@ -73,15 +91,15 @@ def pagerank(
                 self_rank.alias("before"),
             )
             steps += 1
-        ranks = stage_table(ranks, "ranks")
+        ranks = stages.put(ranks, "ranks")
+        stages.drop(earlier)
         if tol is not None:
             moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("before"))).alias("d")).first()["d"]
             if moved is None or moved <= tol:
-                break
-    totals = ranks.groupBy(*by).agg((F.count("*") / F.sum("rank")).alias("scale"))
-    return ranks.join(totals, by).select(
-        *by, "id", (F.col("rank") * F.col("scale")).alias("pagerank"), F.lit(steps).alias("steps")
-    )
+                return ranks, steps
+    if tol is not None and moved is not None:
+        raise RuntimeError(f"a rank still moves by {moved} after {steps} steps, more than {tol}")
+    return ranks, steps
 
 
 def centrality_spread(ranks: DataFrame) -> DataFrame:

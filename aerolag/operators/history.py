@@ -39,21 +39,47 @@ def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual
     })
 
 
-def _cut_points(df: DataFrame, key: str, order: str, key_rows: int) -> DataFrame | None:
-    """Times that cut each oversized key into runs of about ``key_rows`` rows.
+def _place(order: str, tie: str) -> Column:
+    """Where a row stands among its key's, as the window sorts it; no time comes first."""
+    return F.struct(F.col(order).alias("at"), F.col(tie).alias("id"))
+
+
+def _cut_points(df: DataFrame, key: str, order: str, tie: str, key_rows: int) -> DataFrame | None:
+    """Places (time, id) that cut each oversized key into runs of about ``key_rows`` rows.
 
     Null when no key is oversized. There are at most (rows / key_rows) such
-    keys and as many cuts; both steps combine before they shuffle.
+    keys and as many cuts. Each key gets as many parts as its own size asks
+    for. Times at the cuts come from a sketch; where one instant or the rows
+    without a time alone exceed a run, ids sketched inside it cut further.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > key_rows)
-    largest = sizes.agg(F.max("n").alias("n")).first()["n"]
+    sizes = stage_table(sizes.withColumn("parts", F.ceil(F.col("n") / F.lit(key_rows)).cast("int")), "big-keys")
+    largest = sizes.agg(F.max("parts").alias("n")).first()["n"]
     if largest is None:
         return None
-    parts = ceil(largest / key_rows)
     big = df.join(broadcast_if_small(sizes.select(key)), key, "left_semi")
-    return big.groupBy(key).agg(F.array_distinct(F.percentile_approx(
-        F.col(order), [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
-    )).alias("__cuts"))
+    instants = big.groupBy(key, order).agg(F.count("*").alias("n"))
+    crowded = stage_table(instants.filter(F.col("n") > key_rows).select(
+        F.col(key).alias("__k"), F.col(order).alias("__t"), F.ceil(F.col("n") / F.lit(key_rows)).cast("int").alias("parts")),
+        "crowded")
+
+    def quantiles(frame: DataFrame, column: str, *by: str) -> DataFrame:
+        """As many values of a column per group as its parts ask for."""
+        finest = max(2, frame.agg(F.max("parts").alias("n")).first()["n"] or 2)
+        grid = F.percentile_approx(F.col(column), [i / finest for i in range(1, finest)], max(10_000, 20 * finest))
+        return frame.groupBy(*by).agg(grid.alias("grid"), F.max("parts").alias("parts")).select(
+            *by, F.explode(F.transform(F.sequence(F.lit(1), F.col("parts") - 1), lambda i: F.element_at(
+                "grid", F.greatest(F.lit(1), F.least(F.size("grid"), F.round(i * finest / F.col("parts")).cast("int")))
+            ))).alias("value"))
+
+    by_time = quantiles(big.join(broadcast_if_small(sizes.select(key, "parts")), key), order, key).select(
+        key, F.struct(F.col("value").alias("at"), F.lit(None).cast(df.schema[tie].dataType).alias("id")).alias("cut"))
+    same = F.col(key).eqNullSafe(F.col("__k")) & F.col(order).eqNullSafe(F.col("__t"))
+    inside = big.join(broadcast_if_small(crowded), same).select(key, order, tie, "parts")
+    by_id = quantiles(inside, tie, key, order).select(
+        key, F.struct(F.col(order).alias("at"), F.col("value").alias("id")).alias("cut"))
+    both = by_time.filter("cut.at is not null").unionByName(by_id)
+    return both.groupBy(key).agg(F.array_sort(F.collect_set("cut")).alias("__cuts"))
 
 
 def lag_features(
@@ -81,27 +107,28 @@ def lag_features(
     usable = F.col(key).isNotNull()
     if exclude is not None:
         usable = usable & ~F.coalesce(exclude, F.lit(False))
-    # Rows outside any history get a window of their own each, so that a
-    # missing key never gathers its rows in one task.
-    rows = df.withColumn("__alone", F.when(~usable, F.col(tie)))
+    # Rows outside any history go around the window, so that a missing key
+    # never gathers its rows in one task.
+    rows = df.filter(usable)
+    outside = df.filter(~usable).select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(out) for c, _, out in names])
 
     def lagged(frame: DataFrame, *parts: str) -> DataFrame:
-        window = Window.partitionBy(key, "__alone", *parts).orderBy(order, tie)
-        inside = F.col("__alone").isNull()
-        return frame.select("*", *[F.when(inside, F.lag(c, i).over(window)).alias(out) for c, i, out in names])
+        window = Window.partitionBy(key, *parts).orderBy(order, tie)
+        return frame.select("*", *[F.lag(c, i).over(window).alias(out) for c, i, out in names])
 
-    cuts = _cut_points(df.filter(usable), key, order, key_rows)
+    cuts = _cut_points(rows, key, order, tie, key_rows)
     if cuts is None:
-        return lagged(rows).drop("__alone")
+        return lagged(rows).unionByName(outside)
 
-    # The run of a row is the number of cuts at or before its time.
+    # The run of a row is the number of cuts at or before its place. A cut is
+    # a time and an id, so rows of one instant and rows without a time are cut too.
     cuts = stage_table(cuts, "cuts")
-    earlier = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col(order))), F.lit(0))
+    place = _place(order, tie)
+    earlier = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= place)), F.lit(0))
     runs = (
         rows.join(broadcast_if_small(cuts), key, "left")
         .withColumns({
-            "__run": F.when(F.col("__cuts").isNotNull(), earlier).otherwise(0),
-            "__cut": F.col("__cuts").isNotNull() & F.col("__alone").isNull(),
+            "__run": F.when(F.col("__cuts").isNotNull(), earlier).otherwise(0), "__cut": F.col("__cuts").isNotNull(),
         })
         .drop("__cuts")
     )
@@ -123,9 +150,9 @@ def lag_features(
         *seen, F.col("__to").alias("__run"), F.lit(True).alias("__copy")
     )
     both = runs.drop("__cut").withColumn("__copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
-    return lagged(both, "__run").filter(~F.col("__copy")).drop("__run", "__copy", "__alone").select(
+    return lagged(both, "__run").filter(~F.col("__copy")).drop("__run", "__copy").select(
         *df.columns, *[out for _, _, out in names]
-    )
+    ).unionByName(outside)
 
 
 def history_gaps(df: DataFrame, now: str = "CRS_DEP_DATETIME_UTC", n: int = 3) -> DataFrame:

@@ -73,10 +73,13 @@ def fold_counts(df: DataFrame) -> DataFrame:
 
 def fold_numbers(df: DataFrame) -> list[int]:
     """The folds present; they must run from 0 without a gap."""
-    found = sorted(r["foldCol"] for r in df.select("foldCol").distinct().limit(10_000).collect())
-    if found != list(range(len(found))):
-        raise ValueError(f"folds must be numbered 0..n-1, found {found}")
-    return found
+    found = df.agg(
+        F.count_distinct("foldCol").alias("n"), F.min("foldCol").alias("first"), F.max("foldCol").alias("last")
+    ).first()
+    if found["n"] and (found["first"], found["last"]) != (0, found["n"] - 1):
+        raise ValueError(
+            f"folds must be numbered 0..n-1, found {found['n']} of them from {found['first']} to {found['last']}")
+    return list(range(found["n"]))
 
 
 def prepare_test(df: DataFrame, label: str = LABEL, drop: Sequence[str] = IDENTITY_COLUMNS) -> DataFrame:

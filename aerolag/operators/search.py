@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 import random
-import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from statistics import median
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
@@ -120,11 +120,13 @@ def random_search(
 ) -> DataFrame:
     """Try drawn parameters over the folds; one row per trial, best first.
 
-    A trial that fails is recorded with its reason and the search goes on. Once
-    ``startup`` trials are complete, a trial stops after the fold at which its
-    running goal falls below the median of theirs at that fold. Encoded folds
-    are kept for all trials that share an imputation. Draws depend on the seed
-    and the trial number only.
+    All trials fit one fold before any fits the next, so only one fold's encoded
+    rows are held at a time. Draws depend on the seed and the trial number only. A
+    trial whose parameters the model refuses is recorded with its reason and
+    the search goes on; any other error ends the search. The first ``startup``
+    trials that do not fail see all folds; another one stops after the fold at
+    which its running goal falls below the median of theirs. The same search
+    therefore gives the same table on any cluster.
     """
     df = df.filter(F.col(spec.label).isNotNull())
     spark = df.sparkSession
@@ -133,52 +135,79 @@ def random_search(
     for t in range(trials):
         rng = random.Random(seed * 1_000_003 + t)
         drawn.append({name: p.draw(rng) for name, p in space.items()})
-    curves: list[list[float]] = []
-    lock = threading.Lock()
+    done: list[list[dict]] = [[] for _ in drawn]
+    curves: list[list[float]] = [[] for _ in drawn]
+    reasons: dict[int, str] = {}
+    stopped: set[int] = set()
 
     with held(df):
-        kept = {
+        encoded = {
             impute: encoded_folds(df, spec, impute, scaling_for(kind))
             for impute in sorted({p.get("impute", "mean") for p in drawn})
         }
-        frames = [f for folds in kept.values() for part in folds for f in part.values()]
-        with held(*frames):
-            def run(t: int) -> dict:
-                params = dict(drawn[t])
-                record = {"trial": t, "params": {k: str(v) for k, v in params.items()}, "folds_run": 0}
-                folds = kept[params.pop("impute", "mean")]
-                curve: list[float] = []
-
-                def fall_behind(done: list[dict]) -> bool:
-                    curve.append(_recency_means(done)[goal])
-                    with lock:
-                        peers = [c[len(curve) - 1] for c in curves]
-                    return len(peers) >= startup and len(curve) < len(folds) and curve[-1] < median(peers)
-
-                try:
-                    done = fit_folds(folds, kind, spec, fall_behind, **{**fixed, **params})
-                except Exception as e:  # the search outlives a failed trial
-                    return {**record, "status": "failed", "failure_reason": str(e)[:2000]}
-                complete = len(curve) == len(folds)
-                if complete:
-                    with lock:
-                        curves.append(curve)
-                per_fold = [tuple([r["foldCol"], r["split"], *[r[m] for m in METRICS]]) for r in done]
-                return {
-                    **record, "status": "complete" if complete else "pruned", "folds_run": len(curve),
-                    **_recency_means(done), "fold_metrics": per_fold,
-                }
-
-            # Trials only wait for Spark jobs; the scheduler shares the cluster among them.
-            pool = ThreadPool(max(1, min(parallelism, trials)))
-            try:
-                records = pool.map(inheritable_thread_target(spark)(run), range(trials), chunksize=1)
-            finally:
-                pool.close()
+        count = len(next(iter(encoded.values()), []))
+        # Trials only wait for Spark jobs; the scheduler shares the cluster among them.
+        pool = ThreadPool(max(1, min(parallelism, trials)))
+        try:
+            for i in range(count):
+                def run(t: int, i: int = i) -> list[dict] | str:
+                    params = dict(drawn[t])
+                    part = encoded[params.pop("impute", "mean")][i]
+                    try:
+                        rows = fit_folds([part], kind, spec, **{**fixed, **params})
+                    except (IllegalArgumentException, TypeError, ValueError) as e:
+                        return str(e)
+                    return [{**r, "foldCol": i} for r in rows]
+
+                active = [t for t in range(trials) if t not in reasons and t not in stopped]
+                with held(*[f for folds in encoded.values() for f in folds[i].values()]):
+                    found = pool.map(inheritable_thread_target(spark)(run), active, chunksize=1)
+                for t, rows in zip(active, found):
+                    if isinstance(rows, str):
+                        reasons[t] = rows
+                    else:
+                        done[t] += rows
+                        curves[t].append(_recency_means(done[t])[goal])
+                first = [t for t in range(trials) if t not in reasons][:startup]
+                if i < count - 1 and len(first) == startup and first:
+                    middle = median(curves[t][i] for t in first)
+                    stopped |= {t for t in active if t not in reasons and t not in first and curves[t][i] < middle}
+        finally:
+            pool.close()
+    records = []
+    for t, params in enumerate(drawn):
+        record = {"trial": t, "params": {k: str(v) for k, v in params.items()}, "folds_run": len(curves[t])}
+        if t in reasons:
+            records.append({**record, "status": "failed", "failure_reason": reasons[t]})
+            continue
+        per_fold = [tuple([r["foldCol"], r["split"], *[r[m] for m in METRICS]]) for r in done[t]]
+        records.append({**record, "status": "pruned" if t in stopped else "complete", **_recency_means(done[t]),
+                        "fold_metrics": per_fold})
     table = records_table(spark, records, spark.createDataFrame([], TRIAL_SCHEMA).schema)
     return table.orderBy(F.desc_nulls_last(goal), "trial")
 
 
+def typed_params(kind: str, params: Mapping[str, str], space: Mapping | None = None) -> dict:
+    """Parameters of a trial's record as the values that were drawn."""
+    space = space_for(kind) if space is None else space
+    out = {}
+    for name, text in params.items():
+        p = space[name]
+        if isinstance(p, Choice):
+            out[name] = next(v for v in p.values if str(v) == text)
+        else:
+            out[name] = int(text) if isinstance(p, Whole) else float(text)
+    return out
+
+
+def best_trial(trials: DataFrame, kind: str, goal: str = "val_fbeta", space: Mapping | None = None) -> dict:
+    """Typed parameters of the best complete trial, ready for ``blind_test``."""
+    row = trials.filter("status = 'complete'").orderBy(F.desc_nulls_last(goal), "trial").select("params").first()
+    if row is None:
+        raise ValueError("no trial is complete")
+    return typed_params(kind, row["params"], space)
+
+
 def trial_folds(trials: DataFrame) -> DataFrame:
     """Fold metrics of all trials in long form."""
     per_fold = trials.select("trial", F.explode("fold_metrics").alias("f")).select("trial", "f.*")

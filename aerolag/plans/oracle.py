@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+# Steps after which ranks are settled far below what the comparison sees.
+_SETTLED = 48
+# From here on flights are held out.
+HELD_OUT_FROM = "2024-01-24"
 # Named subqueries; each entry lists what it builds on.
 _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "flights": ((), """
@@ -166,11 +170,11 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM vertices v
           LEFT JOIN links l ON l."YEAR" = v."YEAR" AND l."QUARTER" = v."QUARTER" AND l.dst = v.id
           LEFT JOIN r{i - 1} r ON r."YEAR" = l."YEAR" AND r."QUARTER" = l."QUARTER" AND r.id = l.src
-        GROUP BY ALL""") for i in range(1, 6)},
-    "ranks": (("r5",), """
+        GROUP BY ALL""") for i in range(1, _SETTLED + 1)},
+    **{name: ((last,), f"""
         SELECT "YEAR", "QUARTER", id,
           rank * count(*) OVER (PARTITION BY "YEAR", "QUARTER") / sum(rank) OVER (PARTITION BY "YEAR", "QUARTER") AS pagerank
-        FROM r5"""),
+        FROM {last}""") for name, last in (("ranks", f"r{_SETTLED}"), ("ranks_fixed", "r5"))},
     "shifted_ranks": (("ranks",), """
         SELECT id, pagerank, cast(CASE WHEN "QUARTER" < 4 THEN "YEAR" ELSE "YEAR" + 1 END AS integer) AS YEAR_NEW,
           cast(CASE WHEN "QUARTER" < 4 THEN "QUARTER" + 1 ELSE 1 END AS integer) AS QUARTER_NEW
@@ -188,12 +192,12 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM day_vertices v
           LEFT JOIN day_links l ON l."YEAR" = v."YEAR" AND l.d = v.d AND l.dst = v.id
           LEFT JOIN d{i - 1} r ON r."YEAR" = l."YEAR" AND r.d = l.d AND r.id = l.src
-        GROUP BY ALL""") for i in range(1, 6)},
-    "day_ranks": (("d5",), """
+        GROUP BY ALL""") for i in range(1, _SETTLED + 1)},
+    "day_ranks": ((f"d{_SETTLED}",), f"""
         SELECT CASE WHEN d < 31 THEN "YEAR" ELSE "YEAR" + 1 END AS year_new,
           CASE WHEN d < 31 THEN d + 1 ELSE d - 30 END AS d_new, id,
           rank * count(*) OVER (PARTITION BY "YEAR", d) / sum(rank) OVER (PARTITION BY "YEAR", d) AS pagerank
-        FROM d5"""),
+        FROM d{_SETTLED}"""),
     "features": (("parsed", "history_strict", "flight_volume", "day_ranks"), """
         SELECT p.*, h.HIST_ARR_DELAY, h.HIST_ARR_FLT_NUM, h.HIST_DEP_DELAY, h.HIST_DEP_FLT_NUM,
           o.avg_yr_flights AS origin_yr_flights, t.avg_yr_flights AS dest_yr_flights, k.pagerank,
@@ -212,10 +216,11 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT ORIGIN AS airport,
           count(*) / (SELECT cast(count(DISTINCT "YEAR") AS double) FROM routes WHERE "YEAR" <> 2001) AS avg_yr_flights
         FROM routes WHERE "YEAR" <> 2001 GROUP BY ORIGIN"""),
-    "flight_volume": (("flights",), """
+    "flight_volume": (("flights",), f"""
         SELECT ORIGIN AS airport,
-          count(*) / (SELECT cast(count(DISTINCT "YEAR") AS double) FROM flights) AS avg_yr_flights
-        FROM flights GROUP BY ORIGIN"""),
+          count(*) / (SELECT cast(count(DISTINCT "YEAR") AS double) FROM flights
+            WHERE DEP_TS < TIMESTAMP '{HELD_OUT_FROM}') AS avg_yr_flights
+        FROM flights WHERE DEP_TS < TIMESTAMP '{HELD_OUT_FROM}' GROUP BY ORIGIN"""),
     "ordered": (("flights",), """
         SELECT *, row_number() OVER (ORDER BY DEP_TS, FLIGHT_ID) - 1 AS pos, count(*) OVER () AS n FROM flights"""),
     "fold_ranges": (("ordered",), """

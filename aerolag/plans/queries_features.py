@@ -242,14 +242,16 @@ def _(spark, d):
 
 
 @query("pagerank_fixed", sql("""
-    SELECT "YEAR", "QUARTER", id, round(pagerank, 6) AS pagerank FROM ranks""", "ranks"))
+    SELECT "YEAR", "QUARTER", id, round(pagerank, 6) AS pagerank FROM ranks_fixed""", "ranks_fixed"))
 def _(spark, d):
-    return rounded(ranks(spark, d).drop("steps"))
+    """Five steps, whether settled or not."""
+    return rounded(graph.pagerank(graph.season_edges(inputs.routes(spark, d)), tol=None, max_iter=5).drop("steps"))
 
 
-@query("pagerank_converged")
+@query("pagerank_converged", sql("""
+    SELECT "YEAR", "QUARTER", id, round(pagerank, 6) AS pagerank FROM ranks""", "ranks"))
 def _(spark, d):
-    return rounded(graph.pagerank(graph.season_edges(inputs.routes(spark, d))))
+    return rounded(ranks(spark, d).drop("steps"))
 
 
 @query("pagerank_season_join", sql("""

@@ -68,7 +68,7 @@ def _(spark, d):
     ", wind_speed_bin || '-' || (wind_speed_bin + 10) AS bin_label",
     "WHERE floor(wind_speed / 10) * 10 <= 50"))
 def _(spark, d):
-    return rounded(breakdown.binned_breakdown(parsed(spark, d), "wind_speed")).orderBy("wind_speed_bin")
+    return rounded(breakdown.binned_breakdown(parsed(spark, d), "wind_speed", cap=50, beyond="drop")).orderBy("wind_speed_bin")
 
 
 @query("top10_airports", _breakdown_sql("routes", "ORIGIN", tail="ORDER BY total_flights DESC, ORIGIN LIMIT 10"))
@@ -241,8 +241,8 @@ def _(spark, d):
 
 
 def ranks(spark: SparkSession, d: str) -> DataFrame:
-    """Centrality per season of the route table, five steps."""
-    return graph.pagerank(graph.season_edges(inputs.routes(spark, d)), tol=None, max_iter=5)
+    """Centrality per season of the route table, settled."""
+    return graph.pagerank(graph.season_edges(inputs.routes(spark, d)), tol=1e-9)
 
 
 @query("mixed_sort", sql("""

@@ -96,3 +96,28 @@ def test_arrival_rules(spark):
     assert twice["ARR_DATETIME_UTC"] == dt.datetime(2015, 7, 1, 17, 0)
     lost = history.add_utc_times(flights, offsets).filter("ORIGIN_AIRPORT_ID = 2").first()
     assert lost["CRS_DEP_DATETIME_UTC"] is None
+
+
+@pytest.mark.parametrize("key_rows", [10**6, 50])
+def test_rows_without_key_or_id_have_no_history(spark, key_rows):
+    start = dt.datetime(2020, 1, 1)
+    rows = [(None, None, start + dt.timedelta(hours=i), float(i)) for i in range(3)]
+    rows += [(i, "a", start + dt.timedelta(hours=i), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "FLIGHT_ID long, TAIL_NUM string, t timestamp_ntz, v double")
+    out = history.lag_features(df, order="t", cols=["v"], n=1, key_rows=key_rows).collect()
+    assert [r["PREV_v_1"] for r in out if r["TAIL_NUM"] is None] == [None] * 3
+    assert {r["FLIGHT_ID"]: r["PREV_v_1"] for r in out if r["TAIL_NUM"]} == {
+        i: float(i - 1) if i else None for i in range(200)}
+
+
+def test_one_instant_is_cut(spark):
+    """A key whose times are all equal, or all missing, is still cut into runs."""
+    when = dt.datetime(2020, 1, 1)
+    rows = [(i, "same", when, float(i)) for i in range(2000)] + [(5000 + i, "none", None, float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "FLIGHT_ID long, TAIL_NUM string, t timestamp_ntz, v double")
+    cuts = {r["TAIL_NUM"]: r["__cuts"] for r in history._cut_points(df, "TAIL_NUM", "t", "FLIGHT_ID", 100).collect()}
+    assert len(cuts["same"]) >= 19 and len(cuts["none"]) >= 19
+    out = history.lag_features(df, order="t", cols=["v"], n=1, key_rows=100).collect()
+    assert {r["FLIGHT_ID"]: r["PREV_v_1"] for r in out} == {
+        **{i: float(i - 1) if i else None for i in range(2000)},
+        **{5000 + i: float(i - 1) if i else None for i in range(2000)}}

@@ -141,3 +141,18 @@ def test_tables_are_checked_and_not_overwritten(spark, rows):
     with pytest.raises(ValueError, match="expected string"):
         read_table(spark, path, rows.select(F.col("x").cast("string")).schema)
     assert list_folder(spark, path).filter(F.col("length") > 0).count() > 0
+
+
+def test_many_folds_are_all_seen(spark):
+    many = spark.range(20_000).selectExpr("cast(id AS int) AS foldCol")
+    assert sampling.fold_numbers(many) == list(range(20_000))
+    with pytest.raises(ValueError, match="numbered"):
+        sampling.fold_numbers(many.filter("foldCol <> 7"))
+
+
+def test_search_is_repeatable_and_gives_parameters_back(spark, rows):
+    space = {"smoothing": search.Real(0.1, 5.0), "impute": search.Choice(("mean", "median"))}
+    runs = [search.random_search(rows, "nb", SPEC, trials=5, space=space, startup=2, parallelism=n) for n in (1, 3)]
+    assert runs[0].collect() == runs[1].collect()
+    best = search.best_trial(runs[0], "nb", space=space)
+    assert isinstance(best["smoothing"], float) and best["impute"] in ("mean", "median")

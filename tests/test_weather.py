@@ -51,9 +51,18 @@ def test_special_codes(spark):
 
 def test_wind_bins(spark):
     rows = [(v, 1.0) for v in (0.0, 9.9, 10.0, 59.9, 60.0, None)]
-    table = breakdown.binned_breakdown(spark.createDataFrame(rows, "wind_speed double, DEP_DEL15 double"), "wind_speed")
-    got = {r["wind_speed_bin"]: (r["total_flights"], r["bin_label"]) for r in table.collect()}
-    assert got == {0: (2, "0-10"), 10: (1, "10-20"), 50: (1, "50-60")}
+    df = spark.createDataFrame(rows, "wind_speed double, DEP_DEL15 double")
+
+    def bins(**how):
+        table = breakdown.binned_breakdown(df, "wind_speed", **how)
+        return {r["wind_speed_bin"]: (r["total_flights"], r["bin_label"]) for r in table.collect()}
+
+    low = {0: (2, "0-10"), 10: (1, "10-20"), 50: (1, "50-60")}
+    assert bins(cap=50, beyond="drop") == low
+    rest = {k: v for k, v in bins().items() if k is not None}
+    assert rest == {**low, 60: (1, "60-70")}
+    capped = {k: v for k, v in bins(cap=10).items() if k is not None}
+    assert capped == {0: (2, "0-10"), 10: (1, "10-20"), 20: (2, "20 and more")}
 
 
 def test_join_form_fills_counts_only(spark):
