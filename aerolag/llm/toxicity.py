@@ -39,12 +39,14 @@ SECOND_PERSON = frozenset(
     "usted ustedes tú ti tus su vosotros".split())
 PLAIN = str.maketrans("013457@$", "oieastas")
 WORD = re.compile(r"[^\W\d_]+")
-MIXED = re.compile(r"[A-Za-z]+(?:[0-9@$*#]+[A-Za-z]+)+")
-SPACED = re.compile(r"\b(?:[A-Za-z][.\-_* ]){3,}[A-Za-z]\b")
-SHOUTED = re.compile(r"\b[A-ZÀ-Þ]{3,}\b")
-DRAWN = re.compile(r"([^\W\d_])\1{2,}")
+# Signs inside a word, and letters parted by signs; both begin with a rare character.
+MASK = re.compile(r"[0-9@$*#]+(?=[A-Za-z])")
+PARTED = re.compile(r"(?:[.\-_*][A-Za-z]){2,}(?![A-Za-z])")
+CAPITALS = re.compile(r"[A-ZÀ-Þ]+")
+# Marks other than the question mark, which also stands for characters beyond Latin-1 here.
+MARKS = np.frombuffer(b".,;:!#$%&*()[]{}<>/\\|@^~\"'", np.uint8)
 FEATURES = ["lexicon", "weight", "kinds", "hits", "near_you", "you", "capitals", "shouted", "exclaimed", "asked",
-            "punctuation", "obfuscated", "unmasked", "drawn", "length"]
+            "punctuation", "obfuscated", "unmasked", "drawn"]
 
 
 def terms_of(word: str) -> list[str]:
@@ -52,18 +54,51 @@ def terms_of(word: str) -> list[str]:
     return [word, *[word[:n] + "*" for n in BEGINNINGS if len(word) >= n]]
 
 
-def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
+class Lexicon:
+    """Terms with their weights, whole words and word beginnings apart."""
+
+    def __init__(self, terms: dict[str, float]):
+        self.terms = terms
+        self.words = {t: x for t, x in terms.items() if not t.endswith("*")}
+        self.beginnings = {n: {t[:-1]: x for t, x in terms.items() if t.endswith("*") and len(t) == n + 1}
+                           for n in BEGINNINGS}
+
+    def weight(self, word: str) -> float:
+        return max(self.words.get(word, 0.0), *[b.get(word[:n], 0.0) for n, b in self.beginnings.items()])
+
+    def found(self, words: Counter) -> dict[str, float]:
+        hit = set(words.keys() & self.words.keys())
+        for n, known in self.beginnings.items():
+            hit.update([w for w in words if w[:n] in known])
+        return {w: self.weight(w) for w in hit}
+
+
+def _masked(text: str) -> list[str]:
+    """Words with signs or digits inside, and single letters parted by signs."""
+    out, last = [], 0
+    for m in MASK.finditer(text):
+        at = m.start()
+        if at >= last and at and text[at - 1].isascii() and text[at - 1].isalpha():
+            first, last = at - 1, m.end()
+            while first and text[first - 1].isalnum():
+                first -= 1
+            while last < len(text) and (text[last].isalnum() or text[last] in "@$*#"):
+                last += 1
+            out.append(text[first:last])
+    for m in PARTED.finditer(text):
+        if m.start() and text[m.start() - 1].isalpha() and not text[max(0, m.start() - 2):m.start() - 1].isalpha():
+            out.append(text[m.start() - 1:m.end()])
+    return out
+
+
+def features(text: str | None, lexicon: Lexicon) -> list[float]:
     """The dense features of one text, in the order of FEATURES; all 0 for an empty or null one."""
     text = text or ""
     low = text.lower()
     words = WORD.findall(low)
     counts = Counter(words)
     n = max(1, len(words))
-    toxic = {}
-    for word in counts:
-        weight = max((lexicon[t] for t in terms_of(word) if t in lexicon), default=0.0)
-        if weight:
-            toxic[word] = weight
+    toxic = lexicon.found(counts)
     hits = sum(counts[w] for w in toxic)
     second = sum(counts[w] for w in SECOND_PERSON if w in counts)
     near = 0
@@ -79,22 +114,24 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
                     near += 1
                 else:
                     waiting = [j for j in waiting if i - j <= NEAR] + [i]
-    masked = MIXED.findall(text)
-    unmasked = sum(any(t in lexicon for t in terms_of(m.translate(PLAIN).lower())) for m in masked)
-    for m in SPACED.findall(text):
-        unmasked += any(t in lexicon for t in terms_of(re.sub(r"[^A-Za-z]", "", m).lower()))
-    size = max(1, len(text))
-    letters = max(1, sum(map(len, words)))
-    marks = sum(map(text.count, ".,;:!?#$%&*()[]{}<>/\\|@^~\"'"))
+    masked = _masked(text)
+    plain = [re.sub("[^a-z]", "", m.translate(PLAIN).lower()) for m in masked]
+    unmasked = sum(lexicon.weight(w) > 0 for w in plain)
+    codes = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
+    tally = np.bincount(codes, minlength=256)
+    runs = CAPITALS.findall(text)
+    same = (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]) & (codes[2:] >= 65) & (codes[2:] != 95)
     return [
         hits / n, sum(counts[w] * x for w, x in toxic.items()) / n, len(toxic) / max(1, len(counts)), float(hits),
-        near / n, second / n, sum(map(len, re.findall(r"[A-ZÀ-Þ]+", text))) / letters, len(SHOUTED.findall(text)) / n,
-        text.count("!") / n, text.count("?") / n, marks / size, len(masked) / n, unmasked / n,
-        len(DRAWN.findall(low)) / n, float(np.log1p(len(words))),
+        near / n, second / n, sum(map(len, runs)) / max(1, sum(map(len, words))), sum(len(r) > 2 for r in runs) / n,
+        float(tally[33]) / n, text.count("?") / n,
+        float(tally[MARKS].sum()) / max(1, len(text)), len(masked) / n, unmasked / n, float(same.sum()) / n,
     ]
 
 
-def feature_column(text: Column, lexicon: dict[str, float]) -> Column:
+def feature_column(text: Column, terms: dict[str, float]) -> Column:
+    lexicon = Lexicon(terms)
+
     @F.pandas_udf("array<double>")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([np.array(features(t, lexicon)) for t in texts])
@@ -200,8 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             "id", "label", array_to_vector(feature_column(F.col("text"), lexicon)).alias("__vector")), "features")
         part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(1000)) < int(1000 * CALIBRATION_SHARE)
         trees = GBTClassifier(
-            featuresCol="__vector", labelCol="label", predictionCol="__guess", maxIter=20, maxDepth=4, stepSize=0.3,
-            subsamplingRate=0.8, minInstancesPerNode=5, seed=7)
+            featuresCol="__vector", labelCol="label", predictionCol="__guess", maxIter=20, maxDepth=3, stepSize=0.3,
+            subsamplingRate=0.8, minInstancesPerNode=4, minInfoGain=0.005, seed=7)
         trees = trees.setRawPredictionCol("__margin").setProbabilityCol("__probability")
         learned, held = ready.where(~part), ready.where(part)
         seen = {r["label"] for r in learned.select("label").distinct().collect()}
