@@ -80,7 +80,7 @@ def _shape(n: int, rate: float) -> tuple[int, int]:
 
 def first_rate(listed: int, other: int) -> float:
     """Rate of level 1 that keeps the whole cascade small."""
-    return min(DEEP_RATE, math.sqrt(0.5) * listed / max(1, other))
+    return min(DEEP_RATE, math.sqrt(0.5) * max(1, listed) / max(1, other))
 
 
 def keyed(key: Column, shares: int) -> list[Column]:

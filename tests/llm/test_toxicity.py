@@ -43,7 +43,8 @@ def labelled(spark, rows):
 
 
 def test_awkward_inputs(spark):
-    docs = [(i, "you are a vile grub, really" if i % 4 == 0 else "a calm day by the sea") for i in range(80)]
+    # texts differ, since copies count once when the lexicon is learned
+    docs = [(i, f"you are a vile grub, really x{i}" if i % 4 == 0 else f"a calm day by the sea y{i}") for i in range(80)]
     docs += [(None, "vile grub"), (200, None), (201, ""), (5, docs[5][1]), (202, "word " * 200_000)]
     labels = [(i, int(i % 4 == 0)) for i in range(80)] + [(1, 0), (None, 1), (3, None), (999, 1)]
     df = frame(spark, docs)
