@@ -206,7 +206,7 @@ def _(spark, d):
     whole = model_pipeline("lr_baseline", SPEC, train)
     model = whole.getStages()[-1]
     grid = ParamGridBuilder().addGrid(model.maxIter, [5, 10]).addGrid(model.regParam, [0.0, 0.1]).build()
-    _, table = search.grid_search(train, whole, grid, SPEC)
+    _, table = search.grid_search(train, whole, grid, SPEC, parallelism=4)
     return table
 
 
