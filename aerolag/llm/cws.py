@@ -23,7 +23,7 @@ from aerolag.sources.stage import Stages
 
 SAMPLES = 32
 # Samples that one row computes; a word's row is repeated SAMPLES / GROUP times.
-GROUP = 8
+GROUP = 4
 BITS = 25  # of each uniform
 SCALE = float(1 << 24)  # of the ranking value, rounded to a whole number
 DIGITS = 4  # hex digits of a sample in the fingerprint
