@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from aerolag.llm.common import components, partitions, skew_join
 from aerolag.sources.stage import Stages
@@ -167,6 +168,17 @@ def fingerprint_links(distinct: DataFrame, n: int, distance: int = 3, run: int =
     return spread.select("run", "fp").mapInArrow(_join_runs(distance, table), "a long, b long")
 
 
+def _rooted(prints: DataFrame, stages: Stages, distance: int, run: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, least, n, root) of every distinct fingerprint, least id and rows included, and the links."""
+    groups = stages.put(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "groups")
+    n = groups.count()
+    links = stages.put(fingerprint_links(groups.select("fp"), n, distance, run), "links")
+    roots = components(links, stages)
+    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    return stages.put(rooted, "rooted"), links
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     distance: int = 3, run: int = RUN) -> DataFrame:
     """(id, fingerprint, component_id) of every row: hex digits, and the least id of its class.
@@ -177,13 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     stages = Stages(docs.sparkSession)
     prints = stages.put(fingerprints(docs, id_col, text_col, shingle), "prints")
-    groups = stages.put(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "groups")
-    n = groups.count()
-    links = stages.put(fingerprint_links(groups.select("fp"), n, distance, run), "links")
-    roots = components(links, stages)
-    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    rooted = stages.put(rooted, "rooted")
+    rooted, links = _rooted(prints, stages, distance, run)
     classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
     named = skew_join(rooted, classes, "root", "size").select("fp", "component_id", "n")
     named = stages.put(named, "named")
@@ -192,6 +198,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                distance: int = 3, run: int = RUN) -> DataFrame:
+    """Of each near-duplicate class one row, with all its columns.
+
+    It is the row of least id, a null id after all others; of rows that share
+    it, the one of least text hash. Rows are told apart by 128 bits of id and
+    text, so rows alike in both are one row, and no other two are confused.
+    ``docs`` is read twice: stage it.
+    """
+    stages = Stages(docs.sparkSession)
+    whole = [F.col(id_col).isNull(), F.col(id_col), F.col(text_col)]
+    first, second = F.xxhash64(*whole), F.xxhash64(F.lit(SEED), *whole)
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"),
+                     first.alias("first"), second.alias("second"))
+    prints = stages.put(fingerprints(docs.select(order.alias("row"), F.col(text_col).alias("text")), "row", "text", shingle),
+                        "prints")
+    rooted, links = _rooted(prints, stages, distance, run)
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    kept = stages.put(kept.select(F.col("least.first").alias("__first"), F.col("least.second").alias("__second")), "kept")
+    stages.drop(links)
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    # One row per key is taken before the shuffle too, so copies of a row do not meet in one task.
+    copies = Window.partitionBy("__first", "__second").orderBy(F.xxhash64("__first", *rest))
+    rows = docs.withColumn("__first", first).withColumn("__second", second)
+    rows = rows.withColumn("__copy", F.row_number().over(copies)).where("__copy = 1")
+    return rows.join(kept, ["__first", "__second"], "left_semi").select(*docs.columns)
+
+
 def expected_shared(n: int, masks: list[int]) -> float:
     """Strangers that a fingerprint meets per key, for random bits."""
     return n * math.pow(2.0, -min(m.bit_count() for m in masks))

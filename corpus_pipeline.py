@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from aerolag.llm import decontaminate, packing, secrets, simhash, toxicity
 from aerolag.llm.common import table
@@ -22,12 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate class, the document of least id; of rows that share it, one."""
-    classes = simhash.near_duplicates(docs, shingle=3, distance=3)
-    # Classes of null ids only have a null component, and keep one row.
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").drop("__copy")
+    return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

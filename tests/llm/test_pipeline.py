@@ -93,3 +93,13 @@ def test_awkward_documents(spark):
     clean = dict(corpus_pipeline.STAGES)["secret_scan"](spark, docs, SF).collect()
     assert [r.text for r in clean if r.doc_id == 1] == ["[SECRET] x"] * 2 and len(clean) == len(rows)
     assert secrets.redact_documents(docs.where("false")).count() == 0
+
+
+def test_one_row_per_class_whatever_its_id(spark):
+    rows = [(None, "first text without any id at all"), (None, "another thing entirely, unlike the one before"),
+            (None, "another thing entirely, unlike the one before"), (4, "the tide went out before noon that day"),
+            (4, "machines of brass and copper hum below"), (None, "machines of brass and copper hum below"), (9, "x"),
+            (3, "x")]
+    kept = corpus_pipeline.drop_near_copies(spark, frame(spark, rows), SF)
+    want = {rows[0], rows[1], rows[3], rows[4], rows[7]}
+    assert sorted(map(repr, map(tuple, kept.select("doc_id", "text").collect()))) == sorted(map(repr, want))
