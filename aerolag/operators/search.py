@@ -7,7 +7,7 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
-from statistics import median
+from statistics import mean, median, pstdev
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
@@ -16,9 +16,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolag.operators.encode import encoder_pipeline, vector_width
 from aerolag.operators.evaluate import cross_validate, encoded_folds, fit_folds
 from aerolag.operators.metrics import METRICS, weighted_fold_mean
-from aerolag.operators.models import scaling_for
+from aerolag.operators.models import make_model, scaling_for
 from aerolag.operators.sampling import fold_numbers
 from aerolag.schema import FEATURE_GROUPS, FeatureSpec
 from aerolag.sources.stage import held
@@ -238,6 +239,44 @@ def grid_search(
     return fitted, table.orderBy(F.desc("mean"))
 
 
+def grid_folds(
+    df: DataFrame, kind: str, spec: FeatureSpec, grid: Sequence[Mapping], parallelism: int = 1, evaluator=None,
+    impute: str = "mean",
+) -> DataFrame:
+    """:func:`grid_search` over parameters of :func:`make_model`; one row per point, best first.
+
+    Encoders are fitted once per fold, on the rows that train, and shared by all
+    points. A perceptron's first layer is as wide as that fold's vector,
+    which is narrower where a rare value is in the held-out fold only.
+    """
+    df = df.filter(F.col(spec.label).isNotNull())
+    evaluator = evaluator or BinaryClassificationEvaluator(labelCol=spec.label)
+    scored = []
+    pool = ThreadPool(max(1, min(parallelism, len(grid))))
+    try:
+        with held(df):
+            for i in fold_numbers(df):
+                train, val = df.filter(F.col("foldCol") != i), df.filter(F.col("foldCol") == i)
+                encoder = encoder_pipeline(spec, impute, scaling_for(kind)).fit(train)
+                parts = [encoder.transform(p).select(spec.label, "final_features") for p in (train, val)]
+                width = vector_width(parts[0])
+
+                def run(params: Mapping, parts=parts, width=width) -> float:
+                    fitted = make_model(kind, spec, width, **params).fit(parts[0])
+                    return evaluator.evaluate(fitted.transform(parts[1]))
+
+                with held(*parts):
+                    scored.append(pool.map(inheritable_thread_target(df.sparkSession)(run), grid, chunksize=1))
+    finally:
+        pool.close()
+    rows = [
+        ({name: str(v) for name, v in point.items()}, float(mean(found)), float(pstdev(found)))
+        for point, *found in zip(grid, *scored)
+    ]
+    table = df.sparkSession.createDataFrame(rows, "params map<string,string>, mean double, stddev double")
+    return table.orderBy(F.desc("mean") if evaluator.isLargerBetter() else F.asc("mean"))
+
+
 def forward_groups(
     df: DataFrame, kind: str, spec: FeatureSpec, groups: Mapping[str, Sequence[str]] | None = None, **params
 ) -> DataFrame:

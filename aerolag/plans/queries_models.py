@@ -5,12 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolag.operators import evaluate, graph, metrics, search
-from aerolag.operators.encode import ShiftNonNegative, encoder_pipeline, vector_slots
+from aerolag.operators.encode import ShiftNonNegative, encoder_pipeline, vector_slots, vector_width
 from aerolag.operators.models import model_pipeline
 from aerolag.operators.sampling import prepare_test
 from aerolag.plans import inputs, pipeline
@@ -199,15 +198,23 @@ def _(spark, d):
     return trials.select("trial", "status", "failure_reason", "params", "folds_run", "train_fbeta", "val_fbeta")
 
 
+def perceptron_grid(width: int) -> list[dict]:
+    """Iterations, block sizes and hidden layers (a quarter, a half and all of the vector's width).
+
+    Step sizes are left out: the default solver does not use one.
+    """
+    return [
+        {"maxIter": n, "blockSize": block, "hidden": (hidden,)}
+        for n in (10, 50, 100) for block in (64, 128, 256) for hidden in (width // 4, width // 2, width)
+    ]
+
+
 @query("grid_search")
 def _(spark, d):
     """The encoders are part of what is fitted, so held-out folds stay unseen."""
     train = training_rows(spark, d)
-    whole = model_pipeline("lr_baseline", SPEC, train)
-    model = whole.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(model.maxIter, [5, 10]).addGrid(model.regParam, [0.0, 0.1]).build()
-    _, table = search.grid_search(train, whole, grid, SPEC, parallelism=4)
-    return table
+    width = vector_width(encoder_pipeline(SPEC).fit(train).transform(train))
+    return search.grid_folds(train, "mlp1", SPEC, perceptron_grid(width), parallelism=4)
 
 
 @query("forward_group_selection")
@@ -219,7 +226,7 @@ def _(spark, d):
 def _(spark, d):
     """The best trial of a search, fitted on all training rows and tested blind."""
     train = training_folds(spark, d)
-    best = search.best_trial(search.random_search(train, "nb", SPEC, trials=5, startup=2), "nb")
+    best = search.best_trial(search.random_search(train, "nb", SPEC), "nb")
     found, _ = evaluate.blind_test(train, held_out(spark, d), "nb", SPEC, **best)
     return rounded(found)
 

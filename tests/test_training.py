@@ -3,6 +3,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from aerolag.operators import encode, evaluate, metrics, sampling, search
+from aerolag.plans import queries_models
+from aerolag.plans.catalog import QUERIES
 from aerolag.schema import FeatureSpec
 from aerolag.session import stage_root
 from aerolag.sources import list_folder, read_table, stage_table, write_table
@@ -156,3 +158,30 @@ def test_search_is_repeatable_and_gives_parameters_back(spark, rows):
     assert runs[0].collect() == runs[1].collect()
     best = search.best_trial(runs[0], "nb", space=space)
     assert isinstance(best["smoothing"], float) and best["impute"] in ("mean", "median")
+
+
+def test_grid_covers_perceptrons_and_folds_without_a_value(spark, rows):
+    # A carrier that only the last fold has makes the other folds' vectors wider than its own.
+    rare = rows.withColumn("carrier", F.when(F.col("id") >= 1490, F.lit("rare")).otherwise(F.col("carrier")))
+    grid = [{"maxIter": n, "blockSize": 64, "hidden": (2,)} for n in (1, 30)]
+    got = search.grid_folds(rare, "mlp1", SPEC, grid, parallelism=2).collect()
+    assert len(got) == 2 and got[0]["mean"] >= got[1]["mean"] and all(0 <= r["mean"] <= 1 for r in got)
+    whole = queries_models.perceptron_grid(84)
+    assert len(whole) == 27
+    assert {name: {p[name] for p in whole} for name in whole[0]} == {
+        "maxIter": {10, 50, 100}, "blockSize": {64, 128, 256}, "hidden": {(21,), (42,), (84,)}}
+
+
+def test_query_searches_whole_grid_and_all_trials(spark, rows, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(queries_models, "training_rows", lambda s, d: rows)
+    monkeypatch.setattr(queries_models, "training_folds", lambda s, d: rows)
+    monkeypatch.setattr(queries_models, "held_out", lambda s, d: rows)
+    monkeypatch.setattr(queries_models, "SPEC", SPEC)
+    monkeypatch.setattr(search, "grid_folds", lambda df, kind, spec, grid, **o: seen.update(kind=kind, grid=grid))
+    real = search.random_search
+    monkeypatch.setattr(search, "random_search", lambda *a, **o: seen.update(trials=real(*a, **o)) or seen["trials"])
+    QUERIES["grid_search"](spark, "")
+    assert seen["kind"] == "mlp1" and len(seen["grid"]) == 27
+    QUERIES["search_then_blind_test"](spark, "")
+    assert seen["trials"].count() == 10
