@@ -12,6 +12,7 @@ Documents are read once per block of benchmark texts, and never shuffled.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -234,8 +235,15 @@ def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, i
                      edits[got].tolist())
     found.sort(key=lambda x: (x[0], x[1], x[4], x[2]))
     kept: list[tuple[int, int, int, int, int]] = []
+    starts: list[int] = []  # of what is kept for the current document and item, which never overlaps
+    ends_at: list[int] = []
     for x in found:
-        if not any(y[:2] == x[:2] and x[2] < y[3] and y[2] < x[3] for y in reversed(kept[-64:])):
+        if not kept or kept[-1][:2] != x[:2]:
+            starts, ends_at = [], []
+        place = bisect_left(starts, x[3])
+        if not place or ends_at[place - 1] <= x[2]:
+            starts.insert(place, x[2])
+            ends_at.insert(place, x[3])
             kept.append(x)
     return kept
 

@@ -110,3 +110,21 @@ def test_awkward_rows_and_blocks(spark):
 @pytest.mark.parametrize("size", [1, 2, 7])
 def test_grams_of_short_texts(size):
     assert len(decontaminate.grams(np.arange(size, dtype=np.uint8))) == 0
+
+
+def test_overlaps_are_sought_among_all_occurrences(monkeypatch):
+    item = "abcdefghijklmnopqrstuvwx"
+    index = decontaminate.build_index([(1, item)])
+    real = decontaminate.align
+
+    def with_worse(index, whole, item, offset, lo, hi):
+        edits, start, end = real(index, whole, item, offset, lo, hi)
+        again = np.flatnonzero(edits >= 0)[:1]  # the first occurrence once more, one edit worse
+        edits[again[0] + 1], start[again[0] + 1], end[again[0] + 1] = 1, start[again[0]], end[again[0]] + 1
+        return edits, start, end
+
+    monkeypatch.setattr(decontaminate, "align", with_worse)
+    text = (item + " 0123456789 ") * 200
+    kept = decontaminate.occurrences([text], index)
+    places = sorted((s, e) for _, _, s, e, _ in kept)
+    assert len(kept) >= 199 and all(a[1] <= b[0] for a, b in zip(places, places[1:]))
