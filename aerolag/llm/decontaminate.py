@@ -6,6 +6,7 @@ minus place in the text) at most e apart. Shared q-grams are counted in bands of
 2 e + 1 diagonals, of which each begins e + 1 after the last, so every
 occurrence lies in one band. Bands below the bound hold no occurrence; the
 others are aligned, and the region is kept if the edits stay in the budget.
+Texts shorter than q are looked up whole. Parts of a benchmark text do not count.
 
 Documents are read once per block of benchmark texts, and never shuffled.
 """
@@ -61,7 +62,7 @@ def budget(m: int, rate: float = EDIT_RATE, q: int = Q) -> tuple[int, int]:
     """(edits allowed, q-grams that must be shared) for a text of m characters.
 
     Fewer edits are allowed where the rate would leave no q-gram to share, so
-    the bound always selects; a text of fewer than q characters has bound 0.
+    the bound always selects; texts of fewer than q characters are found by ``short_hits``.
     """
     e = min(int(m * rate), max(0, (m - q) // q))
     return e, m - q + 1 - q * e
@@ -81,6 +82,8 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray
+    # Texts shorter than a q-gram: (length, sorted keys, their items) per length.
+    short: list[tuple[int, np.ndarray, np.ndarray]]
 
 
 def build_index(items: list[tuple[object, str]], rate: float = EDIT_RATE, q: int = Q) -> Index:
@@ -94,8 +97,14 @@ def build_index(items: list[tuple[object, str]], rate: float = EDIT_RATE, q: int
     sieve = np.zeros(1 << SIEVE_BITS, bool)
     sieve[(keys * MIX) >> np.uint64(64 - SIEVE_BITS)] = True
     limits = np.array([budget(len(p), rate, q) for p in points] or np.empty((0, 2)), np.int64).reshape(-1, 2)
+    short = []
+    for m in sorted({len(p) for p in points if 0 < len(p) < q}):
+        mine = np.array([i for i, p in enumerate(points) if len(p) == m], np.int64)
+        whole = np.concatenate([grams(fold(items[i][1]), m) for i in mine])
+        by_key = np.argsort(whole, kind="stable")
+        short.append((m, whole[by_key], mine[by_key]))
     return Index([i for i, _ in items], points, limits[:, 0], limits[:, 1], keys, first, count, item[order],
-                 place[order], sieve)
+                 place[order], sieve, short)
 
 
 def align(index: Index, whole: np.ndarray, item: np.ndarray, offset: np.ndarray, lo: np.ndarray,
@@ -205,6 +214,24 @@ def _expand(at: np.ndarray, slot: np.ndarray, index: Index, n: int) -> tuple[np.
     return keys, counts
 
 
+def short_hits(whole: np.ndarray, codes: np.ndarray, owner: np.ndarray, index: Index) -> Iterator[tuple[int, int, int]]:
+    """(item, start, end) of every place where a text shorter than a q-gram stands, without edits."""
+    for m, keys, items in index.short:
+        mine = grams(codes, m)
+        at = np.flatnonzero(owner[:len(mine)] == owner[m - 1:])
+        low, high = np.searchsorted(keys, mine[at]), np.searchsorted(keys, mine[at], "right")
+        times = high - low
+        total = int(times.sum())
+        inner = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
+        place, item = np.repeat(at, times), items[np.repeat(low, times) + inner]
+        letters = np.zeros((len(index.points), m), np.uint32)
+        for i in set(items.tolist()):
+            letters[i] = index.points[i]
+        same = (whole[place[:, None] + np.arange(m)] == letters[item]).all(axis=1)
+        for i, p in zip(item[same].tolist(), place[same].tolist()):
+            yield i, p, p + m
+
+
 def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int, int, int, int]]:
     """(document, item, start, end, edits) of every occurrence in a few documents.
 
@@ -233,6 +260,10 @@ def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, i
         got = edits >= 0
         found += zip(doc[got].tolist(), item[got].tolist(), (start - lo)[got].tolist(), (end - lo)[got].tolist(),
                      edits[got].tolist())
+    for item, start, end in short_hits(whole, codes, owner, index):
+        doc = int(owner[start])
+        before = int(ends[doc] - lengths[doc])
+        found.append((doc, item, start - before, end - before, 0))
     found.sort(key=lambda x: (x[0], x[1], x[4], x[2]))
     kept: list[tuple[int, int, int, int, int]] = []
     starts: list[int] = []  # of what is kept for the current document and item, which never overlaps
@@ -251,7 +282,7 @@ def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, i
 def _blocks(bench: DataFrame, id_col: str, text_col: str, chars: int) -> Iterator[list[tuple[object, str]]]:
     """Benchmark texts in blocks of bounded size, fetched one after the other."""
     block, size = [], 0
-    rows = bench.where(F.length(text_col) >= Q).select(id_col, text_col).orderBy(id_col, text_col)
+    rows = bench.where(F.length(text_col) > 0).select(id_col, text_col).orderBy(id_col, text_col)
     for row in rows.toLocalIterator():
         if block and size + len(row[1]) > chars:
             yield block
@@ -268,8 +299,8 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
     One row per occurrence, in code points, end exclusive; documents without
     any give none. Null texts hold nothing; benchmark texts that are null or
-    shorter than eight characters are not searched. Rows that repeat on either
-    side are reported each. Empty tables give an empty result.
+    empty are not searched, those shorter than eight characters are found
+    without edits. Rows that repeat on either side are reported each. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     id_kind = docs.schema[id_col].dataType.simpleString()

@@ -128,3 +128,13 @@ def test_overlaps_are_sought_among_all_occurrences(monkeypatch):
     kept = decontaminate.occurrences([text], index)
     places = sorted((s, e) for _, _, s, e, _ in kept)
     assert len(kept) >= 199 and all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+
+
+def test_short_items_are_found_exactly(spark):
+    bench = spark.createDataFrame([(1, "Ab c"), (2, "é"), (3, ""), (4, "aa"), (5, "seven77"), (6, "Ab c")],
+                                  "item_id long, text string")
+    rows = [(1, "x aB\tc y"), (2, "cafés"), (3, "abc"), (4, "aaa"), (5, "a"), (6, "end seven77"), (7, "seven7")]
+    docs = frame(spark, rows)
+    got = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in decontaminate.find_passages(docs, bench).collect()}
+    assert got == {(1, 1, 2, 6, 0), (1, 6, 2, 6, 0), (2, 2, 3, 4, 0), (4, 4, 0, 2, 0), (6, 5, 4, 11, 0)}
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()) == [3, 5, 7]
