@@ -28,8 +28,10 @@ from aerolag.llm.common import numbered, partitions, tokenizer_path
 from aerolag.sources.stage import Stages
 
 CAPACITY = 1024
-# Lengths are rounded up to classes of so many tokens; the rounding is the padding that a full pattern may keep.
+# Lengths above FINE are rounded up to classes of so many tokens; the rounding is the padding that a full pattern may
+# keep. Shorter ones, on which it would weigh most, are classes of their own.
 GRAIN = 4
+FINE = 64
 CLOSING = 0
 # The program may stop this close to its lower bound, or after so many patterns.
 GAP = 5e-4
@@ -254,13 +256,14 @@ def _places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int,
     return rows
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN, fine: int = FINE) -> DataFrame:
     """Add sequence_id and offset to a staged table of pieces (id, start, length, ...)."""
     spark = pieces.sparkSession
-    classed = pieces.withColumn("__class", F.ceil(F.col("length") / F.lit(grain)).cast("int"))
+    rounded = F.least(F.ceil(F.col("length") / F.lit(grain)) * F.lit(grain), F.lit(capacity))
+    classed = pieces.withColumn("__class", F.when(F.col("length") <= fine, F.col("length")).otherwise(rounded).cast("int"))
     histogram = {r["__class"]: r["n"] for r in classed.groupBy("__class").agg(F.count("*").alias("n")).collect()}
     kind = "__c int, __from long, __to long, __copies int, __sequence long, __place int"
-    places = spark.createDataFrame(_places(plan(histogram, capacity // grain)), kind)
+    places = spark.createDataFrame(_places(plan(histogram, capacity)), kind)
     ranked = numbered(classed, ["__class"], ["id", "start", "ids_crc32"], "__rank", partitions(spark))
     # At most a few rows per class and pattern, whatever the corpus.
     here = (F.col("__class") == F.col("__c")) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to"))

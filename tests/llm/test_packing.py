@@ -99,3 +99,14 @@ def test_linear_program_improves_on_greedy():
     assert used <= greedy
     best, pattern = packing.price(sizes, np.array([0.2, 0.34, 0.51, 0.6]), 100)
     assert best == pytest.approx(1.0) and pattern @ sizes <= 100
+
+
+def test_short_and_empty_texts_leave_little_padding(spark):
+    docs = [(i, "" if i % 2 else "a b c d") for i in range(6000)]
+    rows = packing.pack(frame(spark, docs)).collect()
+    assert len(rows) == len(docs)
+    sequences = defaultdict(int)
+    for r in rows:
+        sequences[r.sequence_id] += r.length
+    assert max(sequences.values()) <= 1024
+    assert len(sequences) * 1024 <= 1.02 * sum(sequences.values()) + 1024
