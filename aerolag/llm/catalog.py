@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import cws, decontaminate, fixity, packing, pii, secrets, shards, simhash, toxicity, urls
+from aerolag.llm import cws, decontaminate, fixity, packing, pii, secrets, shards, simhash, topk, toxicity, urls
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_weighted_sampling")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op11_uniform_threshold_topk", topk.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), topk.every("vec_id", 20), k=20)
