@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolag.llm import cws, decontaminate, fixity, packing, pii, secrets, shards, simhash, topk, toxicity, urls
+from aerolag.llm import codes, cws, decontaminate, fixity, packing, pii, secrets, shards, simhash, topk, toxicity, trie, urls
 from aerolag.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_uniform_threshold_topk", topk.ORACLE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), topk.every("vec_id", 20), k=20)
+
+
+@query("op12_prefix_radix_trie", trie.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations rebuilt to share their first turns by groups of twenty."""
+    return trie.build(trie.shared_heads(trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
+@query("op13_ball_kmeans_codes", codes.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
