@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolag.functions.clock import add_hours, add_minutes, local_timestamp, whole_minutes
-from aerolag.operators.joins import broadcast_if_small, lookup_join
+from aerolag.operators.joins import lookup_join
 from aerolag.schema import AIRCRAFT
-from aerolag.sources.stage import stage_table
+from aerolag.sources.stage import Stages, stage_table
 
-# Rows of one key that a single window task is given before the key is cut.
-KEY_ROWS = 1_000_000
+# Spark refuses tables of more buckets.
+MAX_BUCKETS = 100_000
 
 
 def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual") -> DataFrame:
@@ -39,47 +38,37 @@ def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual
     })
 
 
-def _place(order: str, tie: str) -> Column:
-    """Where a row stands among its key's, as the window sorts it; no time comes first."""
-    return F.struct(F.col(order).alias("at"), F.col(tie).alias("id"))
+def _partition_ends(placed: DataFrame, key: str, order: str, tie: str, cols: Sequence[str], n: int) -> DataFrame:
+    """The last ``n`` rows of the key that goes on after each partition, and what each partition is to see of them.
 
-
-def _cut_points(df: DataFrame, key: str, order: str, tie: str, key_rows: int) -> DataFrame | None:
-    """Places (time, id) that cut each oversized key into runs of about ``key_rows`` rows.
-
-    Null when no key is oversized. There are at most (rows / key_rows) such
-    keys and as many cuts. Each key gets as many parts as its own size asks
-    for. Times at the cuts come from a sketch; where one instant or the rows
-    without a time alone exceed a run, ids sketched inside it cut further.
+    (__part, key, __halo): the rows of a partition's first key that lie in the
+    partitions before it, latest first, at most ``n``. Only a partition's last
+    key can go on, so there are at most ``n`` rows per partition.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > key_rows)
-    sizes = stage_table(sizes.withColumn("parts", F.ceil(F.col("n") / F.lit(key_rows)).cast("int")), "big-keys")
-    largest = sizes.agg(F.max("parts").alias("n")).first()["n"]
-    if largest is None:
-        return None
-    big = df.join(broadcast_if_small(sizes.select(key)), key, "left_semi")
-    instants = big.groupBy(key, order).agg(F.count("*").alias("n"))
-    crowded = stage_table(instants.filter(F.col("n") > key_rows).select(
-        F.col(key).alias("__k"), F.col(order).alias("__t"), F.ceil(F.col("n") / F.lit(key_rows)).cast("int").alias("parts")),
-        "crowded")
-
-    def quantiles(frame: DataFrame, column: str, *by: str) -> DataFrame:
-        """As many values of a column per group as its parts ask for."""
-        finest = max(2, frame.agg(F.max("parts").alias("n")).first()["n"] or 2)
-        grid = F.percentile_approx(F.col(column), [i / finest for i in range(1, finest)], max(10_000, 20 * finest))
-        return frame.groupBy(*by).agg(grid.alias("grid"), F.max("parts").alias("parts")).select(
-            *by, F.explode(F.transform(F.sequence(F.lit(1), F.col("parts") - 1), lambda i: F.element_at(
-                "grid", F.greatest(F.lit(1), F.least(F.size("grid"), F.round(i * finest / F.col("parts")).cast("int")))
-            ))).alias("value"))
-
-    by_time = quantiles(big.join(broadcast_if_small(sizes.select(key, "parts")), key), order, key).select(
-        key, F.struct(F.col("value").alias("at"), F.lit(None).cast(df.schema[tie].dataType).alias("id")).alias("cut"))
-    same = F.col(key).eqNullSafe(F.col("__k")) & F.col(order).eqNullSafe(F.col("__t"))
-    inside = big.join(broadcast_if_small(crowded), same).select(key, order, tie, "parts")
-    by_id = quantiles(inside, tie, key, order).select(
-        key, F.struct(F.col(order).alias("at"), F.col("value").alias("id")).alias("cut"))
-    both = by_time.filter("cut.at is not null").unionByName(by_id)
-    return both.groupBy(key).agg(F.array_sort(F.collect_set("cut")).alias("__cuts"))
+    edges = stage_table(
+        placed.groupBy("__part").agg(F.min(key).alias("__first"), F.max(key).alias("__last")), "partition-keys")
+    newest = Window.partitionBy("__part").orderBy(F.desc(order), F.desc(tie))
+    # One row per partition.
+    going_on = F.broadcast(edges.select("__part", F.col("__last").alias(key)))
+    ends = (
+        placed.select("__part", key, order, tie, F.struct(*cols).alias("__seen")).join(going_on, ["__part", key])
+        .withColumn("__back", F.row_number().over(newest)).filter(F.col("__back") <= n)
+        .select("__part", key, "__back", "__seen")
+    )
+    ends = stage_table(ends, "partition-ends")
+    in_order = Window.partitionBy(key).orderBy("__part", F.desc("__back"))
+    numbered = ends.withColumn("__place", F.row_number().over(in_order))
+    # How many of the rows above come before a partition's first key.
+    events = ends.select(key, "__part", F.lit(1).alias("__end")).unionByName(
+        edges.select(F.col("__first").alias(key), "__part", F.lit(0).alias("__end")))
+    so_far = Window.partitionBy(key).orderBy("__part", "__end").rowsBetween(Window.unboundedPreceding, 0)
+    starts = events.withColumn("__before", F.sum("__end").over(so_far)).filter("__end = 0 and __before > 0")
+    wanted = starts.select(
+        key, F.col("__part").alias("__to"),
+        F.explode(F.sequence(F.greatest(F.col("__before") - (n - 1), F.lit(1)), F.col("__before"))).alias("__place"))
+    seen = F.sort_array(F.collect_list(F.struct("__place", "__seen")), asc=False)
+    halo = numbered.join(wanted, [key, "__place"]).groupBy(F.col("__to").alias("__part"), key).agg(seen.alias("__halo"))
+    return stage_table(halo.withColumn("__halo", F.col("__halo.__seen")), "halo")
 
 
 def lag_features(
@@ -90,69 +79,43 @@ def lag_features(
     n: int = 3,
     tie: str = "FLIGHT_ID",
     exclude: Column | None = None,
-    key_rows: int = KEY_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Values of the last ``n`` rows of the same key, as ``PREV_<column>_<i>``.
 
-    All lags share one window, ordered by ``order`` and then ``tie``. Rows that
-    meet ``exclude`` (for instance cancelled ones) neither see nor are history.
-    Rows without a key have no history and skip the window.
-
-    A key with more than ``key_rows`` rows is cut in time into runs that are
-    handled apart. Each run is given copies of the ``n`` rows before it, so
-    that its first rows see them; the copies are dropped after the window. A
-    run whose times are all equal cannot be cut further.
+    All lags share one window, ordered by ``order`` (no time first) and then
+    ``tie``. Rows that meet ``exclude`` (for instance cancelled ones) neither
+    see nor are history. Rows without a key have no history and skip the window.
+
+    Rows are range-partitioned once by key, time and id, so a key of any size,
+    and one instant of any size, is spread over as many partitions as it fills.
+    The partitions are written in buckets, in which the window runs without
+    another shuffle. What the first key of a partition has to see from the
+    partitions before it comes from a small table of partition ends, looked up
+    by partition: the cost of a row does not depend on how keys are cut.
+    ``parts``: number of partitions, by default the session's.
     """
     names = [(c, i, f"PREV_{c}_{i}") for c in cols for i in range(1, n + 1)]
     usable = F.col(key).isNotNull()
     if exclude is not None:
         usable = usable & ~F.coalesce(exclude, F.lit(False))
-    # Rows outside any history go around the window, so that a missing key
-    # never gathers its rows in one task.
-    rows = df.filter(usable)
+    # Rows outside any history go around the window.
     outside = df.filter(~usable).select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(out) for c, _, out in names])
 
-    def lagged(frame: DataFrame, *parts: str) -> DataFrame:
-        window = Window.partitionBy(key, *parts).orderBy(order, tie)
-        return frame.select("*", *[F.lag(c, i).over(window).alias(out) for c, i, out in names])
-
-    cuts = _cut_points(rows, key, order, tie, key_rows)
-    if cuts is None:
-        return lagged(rows).unionByName(outside)
-
-    # The run of a row is the number of cuts at or before its place. A cut is
-    # a time and an id, so rows of one instant and rows without a time are cut too.
-    cuts = stage_table(cuts, "cuts")
-    place = _place(order, tie)
-    earlier = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= place)), F.lit(0))
-    runs = (
-        rows.join(broadcast_if_small(cuts), key, "left")
-        .withColumns({
-            "__run": F.when(F.col("__cuts").isNotNull(), earlier).otherwise(0), "__cut": F.col("__cuts").isNotNull(),
-        })
-        .drop("__cuts")
-    )
-    seen = list(dict.fromkeys([key, order, tie, *cols]))
-    newest = Window.partitionBy(key, "__run").orderBy(F.desc(order), F.desc(tie))
-    last = (
-        runs.filter("__cut").select("__run", *seen)
-        .withColumn("__back", F.row_number().over(newest)).filter(F.col("__back") <= n)
-    )
-    # At most n rows per run remain, so ranking them per key is cheap.
-    oldest = Window.partitionBy(key).orderBy("__run", F.desc("__back"))
-    last = stage_table(last.withColumn("__place", F.row_number().over(oldest)), "run-ends")
-    starts = last.groupBy(key, "__run").agg((F.min("__place") - 1).alias("__before"))
-    wanted = starts.select(
-        key, F.col("__run").alias("__to"),
-        F.explode(F.sequence(F.col("__before") - (n - 1), F.col("__before"))).alias("__place"),
-    )
-    copies = last.drop("__run", "__back").join(wanted, [key, "__place"]).select(
-        *seen, F.col("__to").alias("__run"), F.lit(True).alias("__copy")
-    )
-    both = runs.drop("__cut").withColumn("__copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
-    return lagged(both, "__run").filter(~F.col("__copy")).drop("__run", "__copy").select(
-        *df.columns, *[out for _, _, out in names]
-    ).unionByName(outside)
+    spark = df.sparkSession
+    parts = min(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    placed = df.filter(usable).repartitionByRange(parts, key, order, tie).withColumn("__part", F.spark_partition_id())
+    placed = Stages(spark).put_bucketed(placed, "__part", parts, "history")
+    halo = F.broadcast(_partition_ends(placed, key, order, tie, cols, n))  # at most n rows per partition
+    window = Window.partitionBy("__part", key).orderBy(order, tie)
+    lagged = placed.select(
+        "*", F.row_number().over(window).alias("__at"), *[F.lag(c, i).over(window).alias(out) for c, i, out in names])
+    joined = lagged.join(halo, ["__part", key], "left")
+    inside = [
+        F.when(F.col("__at") > i, F.col(out)).otherwise(F.get("__halo", F.lit(i) - F.col("__at"))[c]).alias(out)
+        for c, i, out in names
+    ]
+    return joined.select(*df.columns, *inside).unionByName(outside)
 
 
 def history_gaps(df: DataFrame, now: str = "CRS_DEP_DATETIME_UTC", n: int = 3) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +49,18 @@ def quartiles(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -
         ]).select("column", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)])
     exact = exact_quantiles(df, cols, probs)
     return df.sparkSession.createDataFrame(
-        [(c, *(values or [None] * 3)) for c, values in exact.items()],
+        [(c, *([float(v) for v in values] or [None] * 3)) for c, values in exact.items()],
         "column string, q1 double, q2 double, q3 double",
     )
 
 
+def exact_quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Quartiles per column as texts, with all digits of whole numbers and decimals."""
+    found = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    rows = [(c, *([format(v, "f") if isinstance(v, Decimal) else str(v) for v in q] or [None] * 3)) for c, q in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, q1 string, q2 string, q3 string")
+
+
 def sigma_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> dict[str, tuple[float, float]]:
     """Mean plus and minus ``k`` standard deviations, for columns that vary."""
     row = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in cols]).first()

@@ -121,6 +121,13 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line item a whole number above 2**53 and a decimal with ten places."""
+    big = (F.lit(9007199254740993) + F.col("l_orderkey") * 1000003 + F.col("l_linenumber")).cast("bigint")
+    factor = F.lit("1.0000000001").cast("decimal(11,10)")
+    return table(spark, sf_dir, "lineitem").select(big.alias("big"), (big.cast("decimal(25,0)") * factor).alias("precise"))
+
+
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates that fall on a calendar holiday, per region of the customer."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", _ntz("o_orderdate").alias("date"))

@@ -119,8 +119,8 @@ def _(spark, d):
 
 @query("history_lag_cut_keys", _LAG_SQL)
 def _(spark, d):
-    """The same lags with every busy aircraft cut into several runs."""
-    return history.lag_features(with_utc(spark, d), key_rows=25).select("FLIGHT_ID", *_LAGS)
+    """The same lags over so many partitions that most aircraft are cut."""
+    return history.lag_features(with_utc(spark, d), parts=97).select("FLIGHT_ID", *_LAGS)
 
 
 _NOT_CANCELLED = sql("""

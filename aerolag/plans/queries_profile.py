@@ -122,6 +122,18 @@ def _(spark, d):
     return profile.quartiles(parsed(spark, d), NUMBERS)
 
 
+_WIDE = ("big", "precise")
+
+
+@query("quartiles_wide", sql("WITH wide AS (SELECT big, cast(big AS decimal(25,0)) * cast(1.0000000001 AS decimal(11,10)) AS precise "
+    "FROM (SELECT 9007199254740993 + l_orderkey * 1000003 + l_linenumber AS big FROM lineitem)) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", " + ", ".join(f"cast(quantile_disc({c}, {q}) AS varchar) AS q{i}" for i, q in enumerate((0.25, 0.5, 0.75), 1))
+    + " FROM wide" for c in _WIDE)))
+def _(spark, d):
+    """Quartiles of whole numbers that doubles cannot hold, and of decimals of 36 digits."""
+    return profile.exact_quartiles(inputs.wide_numbers(spark, d), _WIDE)
+
+
 @query("quartiles_sketch")
 def _(spark, d):
     return profile.quartiles(parsed(spark, d), NUMBERS, accuracy=10_000)

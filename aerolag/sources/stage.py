@@ -32,13 +32,29 @@ class Stages:
         self.spark = spark
         self.paths: dict[int, tuple[DataFrame, str]] = {}
 
+    def _path(self, label: str) -> str:
+        return f"{stage_root(self.spark)}/{self.spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
     def put(self, df: DataFrame, label: str = "stage") -> DataFrame:
-        path = f"{stage_root(self.spark)}/{self.spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+        path = self._path(label)
         df.write.mode("errorifexists").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out
 
+    def put_bucketed(self, df: DataFrame, by: str, buckets: int, label: str = "stage") -> DataFrame:
+        """Like ``put``, in buckets of the column ``by``: later windows and joins on it need no shuffle.
+
+        Buckets are kept by the catalog only, so the table has an entry there
+        for as long as it takes to resolve it.
+        """
+        path, name = self._path(label), f"stage_{uuid.uuid4().hex}"
+        df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(name)
+        out = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay, as for any table with a path of its own
+        self.paths[id(out)] = (out, path)
+        return out
+
     def keep(self, df: DataFrame) -> DataFrame:
         """Leave ``df`` for readers after the block."""
         del self.paths[id(df)]

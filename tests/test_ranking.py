@@ -1,11 +1,15 @@
+import datetime as dt
 import math
 import random
+import struct
+from decimal import Context, Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from aerolag.operators import folds, outliers, profile
-from aerolag.operators.ranking import exact_quantiles, global_position
+from aerolag.operators.ranking import _double_key, exact_quantiles, global_position
 
 
 def _rank(values, p):
@@ -13,18 +17,95 @@ def _rank(values, p):
     return values[max(1, math.ceil(p * len(values))) - 1]
 
 
-@pytest.mark.parametrize("window_rows", [1_000_000, 200, 20])
-def test_quantiles_narrowing(spark, window_rows):
+@pytest.mark.parametrize("bits,few", [(16, 1 << 16), (16, 0), (11, 0), (4, 30)])
+def test_quantiles_narrowing(spark, bits, few):
     rng = random.Random(3)
     a = [rng.gauss(0, 10) for _ in range(4000)] + [None] * 50
     b = [float(rng.choice([1, 1, 1, 2, 3])) for _ in range(4050)]
     df = spark.createDataFrame(list(zip(a, b, [None] * 4050)), "a double, b double, c double").repartition(7)
-    got = exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5, 0.75], window_rows=window_rows, accuracy=100)
+    got = exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5, 0.75], bits=bits, few=few)
     assert got["a"] == [_rank(a, p) for p in (0.25, 0.5, 0.75)]
     assert got["b"] == [_rank(b, p) for p in (0.25, 0.5, 0.75)]
     assert got["c"] == []
 
 
+def test_double_digits_are_the_ordered_bits(spark):
+    rng = random.Random(4)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    values += [s * m * 2.0**e for e in range(-1074, 1024, 7) for m in (1.0, 1 + 2**-52, 2 - 2**-52) for s in (1, -1) if e < 1023]
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf,
+               -math.inf, 1e-310, 0.1, 1 / 3]
+    values = [v for v in values if not math.isnan(v)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+
+    def bits(v):
+        n = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        return -n if v < 0 else n
+
+    assert [r[0] for r in df.select(_double_key("v")).collect()] == [bits(v) for v in values]
+    nan = spark.createDataFrame([(math.nan,), (math.inf,)], "v double").select(_double_key("v")).collect()
+    assert nan[0][0] > nan[1][0]
+
+
+@pytest.mark.parametrize("kind,make", [
+    ("bigint", lambda r: r.choice([-1, 1]) * (2**53 + r.randrange(2**62 - 2**53))),
+    ("bigint", lambda r: 2**60 + r.randrange(5)),
+    ("int", lambda r: r.randrange(-2**31, 2**31)),
+    ("smallint", lambda r: r.randrange(-2**15, 2**15)),
+    ("decimal(38,10)", lambda r: Decimal(r.randrange(-10**37, 10**37)).scaleb(-10, Context(prec=60))),
+    ("decimal(38,38)", lambda r: Decimal(r.randrange(-10**37, 10**37)).scaleb(-38, Context(prec=60))),
+    ("decimal(38,0)", lambda r: Decimal(r.randrange(-10**38 + 1, 10**38))),
+    ("decimal(38,38)", lambda r: Decimal(r.randrange(-3, 4)).scaleb(-38)),
+    ("decimal(20,18)", lambda r: Decimal(r.randrange(-10**20 + 1, 10**20)).scaleb(-18, Context(prec=60))),
+    ("decimal(18,18)", lambda r: Decimal(r.randrange(-10**18 + 1, 10**18)).scaleb(-18, Context(prec=60))),
+    ("decimal(18,0)", lambda r: Decimal(r.randrange(-10**18 + 1, 10**18))),
+    ("decimal(9,2)", lambda r: Decimal(r.randrange(-500, 500)).scaleb(-2)),
+    ("float", lambda r: struct.unpack("<f", struct.pack("<f", r.gauss(0, 1)))[0]),
+    ("date", lambda r: dt.date(1960, 1, 1) + dt.timedelta(days=r.randrange(40_000))),
+])
+def test_quantiles_keep_every_digit(spark, kind, make):
+    rng = random.Random(kind)
+    values = [make(rng) for _ in range(700)] + [None] * 9
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    for few in (0, 50, 1 << 16):
+        got = exact_quantiles(df, ["v"], [0.1, 0.25, 0.5, 0.75, 1.0], few=few)["v"]
+        assert got == [_rank(values, p) for p in (0.1, 0.25, 0.5, 0.75, 1.0)]
+
+
+def test_other_types_are_refused(spark):
+    with pytest.raises(TypeError, match="no ranks"):
+        exact_quantiles(spark.createDataFrame([("a",)], "v string"), ["v"], [0.5])
+
+
+def test_trim_bounds_keep_every_digit(spark):
+    big = 2**60
+    values = [big + i for i in range(101)] + [big + 176, big + 10**6, big - 50]
+    df = spark.createDataFrame([(v, Decimal(v)) for v in values], "a bigint, d decimal(30,3)")
+    # quartiles are the 26th and 78th of 104 values
+    ranked = sorted(values)
+    q1, q3 = ranked[25], ranked[77]
+    assert outliers.iqr_bounds(df, ["a"])["a"] == (math.ceil(q1 - Fraction(3, 2) * (q3 - q1)), math.floor(q3 + Fraction(3, 2) * (q3 - q1)))
+    kept = [v for v in values if q1 - Fraction(3, 2) * (q3 - q1) <= v <= q3 + Fraction(3, 2) * (q3 - q1)]
+    for c in ("a", "d"):
+        assert sorted(int(r[0]) for r in outliers.iqr_trim(df, [c]).select(c).collect()) == sorted(kept)
+
+
+def test_trim_reads_its_input_once_for_the_bounds(spark, tmp_path):
+    """Whatever the number of columns: the input is scanned to stage them, and by the result."""
+    spark.range(500).selectExpr("id % 50 a", "id % 70 b", "id % 90 c").write.parquet(f"{tmp_path}/t")
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.read.parquet(f"{tmp_path}/t").mapInArrow(seen, "a long, b long, c long")
+    out = outliers.iqr_trim(df, ["a", "b", "c"])
+    assert reads.value == 500
+    assert out.count() == 500 and reads.value == 1000
+
+
 def test_quartiles_of_nothing(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     got = {r["column"]: tuple(r)[1:] for r in profile.quartiles(df, ["a", "b"]).collect()}
