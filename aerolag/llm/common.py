@@ -78,28 +78,83 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, size: str, how: str =
     )
 
 
-def match_spans(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(items: Column, zero: Column, step) -> Column:
+    """The states of an ``aggregate`` after each item, in an array.
+
+    Appending to one array copies it each time. So items are cut into about as
+    many blocks as each has items, and only arrays of that length grow: a
+    million items cost about as much as a thousand times a thousand.
+    """
+    def block_starts(blocks: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out"))
+        return F.aggregate(blocks, start, lambda s, b: F.struct(
+            F.aggregate(b, s["at"], step).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def inside(block: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.slice(F.array(first), 1, 0).alias("out"))
+
+        def grow(s: Column, x: Column) -> Column:
+            return bound(step(s["at"], x), lambda v: F.struct(v.alias("at"), F.concat(s["out"], F.array(v)).alias("out")))
+
+        return F.aggregate(block, start, grow, lambda s: s["out"])
+
+    def cut(items: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(items).cast("double"))).cast("int"), F.lit(1))
+        count = F.ceil(F.size(items) / size).cast("int")
+        return bound(size, lambda n: F.transform(
+            F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count),
+            lambda i: F.slice(items, i * n + 1, n)))
+
+    whole = bound(items, lambda x: bound(cut(x), lambda blocks: F.flatten(F.zip_with(blocks, block_starts(blocks), inside))))
+    # Most texts have a few matches, for which one block does.
+    return bound(items, lambda x: F.when(F.size(x) <= 64, inside(x, zero)).otherwise(whole))
+
+
+def match_spans(text: Column, pattern: str, kind: str, group: int = 0, window: int = 0) -> Column:
     """Leftmost non-overlapping matches of a pattern that is never empty.
 
     Array of (start, end, kind, hit, part): code points, end exclusive; ``hit``
-    is the match and ``part`` one group of it. The text between matches and the
-    matches themselves alternate, so their lengths add up to the positions.
+    is the match and ``part`` one group of it. With a ``window`` there is also
+    ``before``: as many characters before the match. The text between matches
+    and the matches themselves alternate, so their lengths add up to the positions.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    steps = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), parts.alias("part"))
-    span = "struct<start:int,end:int,kind:string,hit:string,part:string>"
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        found = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"),
-                         x["hit"].alias("hit"), x["part"].alias("part"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(found).cast(f"array<{span}>")).alias("out"))
-
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
-    walked = F.aggregate(steps, empty, step, lambda s: s["out"])
+    gaps = F.split(text, pattern, -1)
+    steps = F.arrays_zip(
+        (gaps if window else F.transform(gaps, lambda g: F.length(g))).alias("gap"), hits.alias("hit"), parts.alias("part"))
+
+    def length(x: Column) -> Column:
+        gap = F.length(x["gap"]) if window else x["gap"]
+        return gap + F.coalesce(F.length(x["hit"]), F.lit(0))
+
+    def last(*texts: Column) -> Column:
+        return F.right(F.concat(*[F.right(t, F.lit(window)) for t in texts]), F.lit(window))
+
+    if window:
+        zero = F.struct(F.lit(0).alias("end"), F.lit("").alias("before"), F.lit("").alias("tail"))
+
+        def step(s: Column, x: Column) -> Column:
+            before = last(s["tail"], x["gap"])
+            return F.struct((s["end"] + length(x)).alias("end"), before.alias("before"),
+                            last(before, F.coalesce(x["hit"], F.lit(""))).alias("tail"))
+    else:
+        zero = F.struct(F.lit(0).alias("end"))
+
+        def step(s: Column, x: Column) -> Column:
+            return F.struct((s["end"] + length(x)).alias("end"))
+
+    def span(x: Column, s: Column) -> Column:
+        fields = [(s["end"] - F.coalesce(F.length(x["hit"]), F.lit(0))).alias("start"), s["end"].alias("end"),
+                  F.lit(kind).alias("kind"), x["hit"].alias("hit"), x["part"].alias("part")]
+        return F.struct(*fields, *([s["before"].alias("before")] if window else []))
+
+    walked = bound(steps, lambda x: F.zip_with(x, running(x, zero, step), span))
     return F.filter(walked, lambda s: s["hit"].isNotNull())
 
 

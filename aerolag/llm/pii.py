@@ -24,12 +24,14 @@ CONTEXT = {
     "phone": r"(?i)phone|call|tel|mobile|fax|anruf",
     "iban": r"(?i)iban|bank|account|konto|compte|cuenta",
 }
-SPAN = "struct<start:int,end:int,kind:string,hit:string,part:string>"
+SPAN = "struct<start:int,end:int,kind:string,hit:string,part:string,before:string>"
+# Repeated groups are possessive: a run is taken whole and never given back, so
+# its length needs no stack, and a failed run is not tried again from its middle.
 # An address starts at the first of its characters, or where the last match ended.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+"
-IP = r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # Runs of fewer than 14 digits never pass; a run is always taken whole.
-CARD = r"[0-9](?:[\x20-]?[0-9]){13,}"
+CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
@@ -65,7 +67,7 @@ def mod97(text: Column) -> Column:
 
 
 def _kind(text: Column, hint: str, pattern: str, kind: str, holds=None) -> Column:
-    found = match_spans(text, pattern, kind)
+    found = match_spans(text, pattern, kind, window=WINDOW)
     if holds is not None:
         found = F.filter(found, lambda s: holds(s["hit"]))
     return F.when(text.rlike(hint), found).otherwise(F.array().cast(f"array<{SPAN}>"))
@@ -84,10 +86,9 @@ def spans(text: Column) -> Column:
     )
 
 
-def score(text: Column, span: Column) -> Column:
+def score(span: Column) -> Column:
     """How sure a span is personal data, 0 to 1: its kind's prior, more with a context word before it."""
-    first = F.greatest(span["start"] - WINDOW, F.lit(0))
-    before = F.substring(text, first + 1, span["start"] - first)
+    before = span["before"]
     prior, near = F.lit(0.0), F.lit(False)
     for kind in KINDS:
         prior = F.when(span["kind"] == kind, F.lit(PRIOR[kind])).otherwise(prior)
@@ -104,7 +105,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("spans", spans(F.col("text")))
     scored = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["hit"].alias("hit"),
-        score(F.col("text"), s).alias("score")))
+        score(s).alias("score")))
     return rows.select("id", scored.alias("found"))
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolag.llm.common import match_spans, skew_join, spans_text
+from aerolag.llm.common import bound, match_spans, running, skew_join, spans_text
 from aerolag.sources.stage import Stages
 
 
@@ -137,19 +137,31 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redact(text: Column, hits: Column, mark: str = "[SECRET]") -> Column:
     """The text with each group of touching or overlapping spans replaced by one mark."""
-    sorted_hits = F.array_sort(F.transform(hits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        apart = (s["start"] > state["at"]) | (state["at"] == 0)
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"),
-                        F.when(apart, F.concat(state["out"], F.when(s["start"] > state["at"], gap).otherwise(""),
-                                               F.lit(mark))).otherwise(state["out"]).alias("out"))
-
-    tail = F.aggregate(sorted_hits, start, step,
-                       lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(hits) == 0, text).otherwise(tail)
+    spans = F.array_sort(F.transform(hits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def cover(at: Column, s: Column) -> Column:
+        return F.greatest(at, s["end"])
+
+    def joined(spans: Column, part) -> Column:
+        """Kept pieces and marks; ``part(at, n)`` is a piece of the text."""
+        def pieces(ends: Column) -> Column:
+            before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+            kept = F.zip_with(spans, before, lambda s, at: F.when(
+                (s["start"] > at) | (at == 0), F.concat(part(at, s["start"] - at), F.lit(mark))).otherwise(""))
+            return F.concat(kept, F.array(part(F.element_at(ends, -1), F.length(text))))
+
+        return F.array_join(bound(running(spans, F.lit(0), cover), pieces), "")
+
+    def piece(at: Column, n: Column) -> Column:
+        return F.substring(text, at + 1, F.greatest(n, F.lit(0)))
+
+    def from_characters(spans: Column) -> Column:
+        # Finding a place in a text takes time in proportion to it; characters in an array are at hand.
+        return bound(F.split(text, ""), lambda chars: joined(
+            spans, lambda at, n: F.array_join(F.slice(chars, at + 1, F.greatest(n, F.lit(0))), "")))
+
+    done = bound(spans, lambda x: F.when(F.size(x) > 64, from_characters(x)).otherwise(joined(x, piece)))
+    return F.when(F.size(hits) == 0, text).otherwise(done)
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

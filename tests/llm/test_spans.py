@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolag.llm import catalog, pii, secrets
-from aerolag.llm.common import table
+from aerolag.llm.common import running, table
 from aerolag.sources.stage import Stages
 from tests.llm.helpers import by_id, frame, joined, sha
 
@@ -31,7 +31,7 @@ TEXTS = [
     "12345678901234567890123 4111111111111111-5", "4111  1111 1111 1111 9 4111111111111111",
     "+1 (555) 010-9999 call +49.30.1234567 +1234 +1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6", "tel +44 20 7946 0958 9",
     "IBAN DE89370400440532013000 and GB82 WEST 1234 5698 7654 32 not DE89370400440532013001",
-    "x" * 300_000 + " me@x.org", "token=abcdefgh " * 2000,
+    "x" * 40_000 + " me@x.org", "token=abcdefgh " * 2000,
 ]
 
 
@@ -134,3 +134,47 @@ def test_context_and_checksums(spark):
     top = {k: v["top_score"] for k, v in by_id(pii.digest(pii.find_pii(df))).items()}
     assert top == {1: 0.7, 2: 0.6}
     assert zlib.crc32(b"") == 0
+
+
+# Texts of one long run, with their spans; plain expressions in Python take hours for some.
+LONG = [
+    ("1" * 1_000_000, ""), ("1 " * 500_000, ""), ("1-2 " * 250_000, ""), ("a@b" + ".c" * 100_000, "email:0:200003"),
+    ("a@b" + ".c" * 100_000 + " " + "9" * 300_000, "email:0:200003"), ("1.2.3.4" + "5" * 1_000_000, ""),
+    ("+1" + " " * 1_000_000, ""), ("+1" + "(2)" * 300_000, ""), ("x@" * 200_000, ""), ("A" * 1_000_000, ""),
+    (".".join("1" * 300_000), ",".join(f"ip:{8 * i}:{8 * i + 7}" for i in range(75_000))),
+]
+LONG_SECRETS = [
+    ("token=" + "x" * 1_000_000, "assign:0:1000006"), ("f" * 1_000_000, "hex:0:1000000"), ("AKIA" + "Z" * 1_000_000, "access:0:1000004"),
+    ("-----BEGIN " + "A" * 500_000, ""), ("1" * 1_000_000, "hex:0:1000000"), ("password " * 100_000, ""),
+]
+
+
+def test_long_runs_end(spark):
+    """A million characters of one run: no stack grows with them, and no start is tried within them."""
+    found = by_id(pii.digest(pii.find_pii(frame(spark, [(i, t) for i, (t, _) in enumerate(LONG)]).repartition(8))))
+    assert [found[i]["spans"] for i in range(len(LONG))] == [s for _, s in LONG]
+    found = by_id(secrets.digest(secrets.scan_secrets(frame(spark, [(i, t) for i, (t, _) in enumerate(LONG_SECRETS)]))))
+    assert [found[i]["spans"] for i in range(len(LONG_SECRETS))] == [s for _, s in LONG_SECRETS]
+
+
+def test_very_many_matches(spark):
+    """A hundred thousand matches in a text are found, and redacted, in time that grows with the text."""
+    mails = "".join(f"u{i}@x{i}.org " for i in range(100_000))
+    tokens = "".join(f"token=abcdef{i} é" for i in range(50_000))
+    docs = [(1, mails), (2, tokens), (3, "4111 1111 1111 1111, " * 20_000)]
+    df = frame(spark, docs)
+    same(by_id(pii.digest(pii.find_pii(df))), docs, base_pii, ["email", "ip", "card", "phone"])
+    same(by_id(secrets.digest(secrets.scan_secrets(df))), docs, base_secrets, ["assign", "access", "hex"])
+    clean = {r.doc_id: r.text for r in secrets.redact_documents(df).collect()}
+    assert clean[2] == "[SECRET] é" * 50_000 and clean[1] == mails
+
+
+def test_running_states(spark):
+    for n in (0, 1, 63, 64, 65, 66, 100, 1000):
+        got = spark.range(1).select(running(
+            F.array_repeat(F.lit(2), n), F.lit(5), lambda s, x: s * 3 % 1000 + x).alias("s")).first().s
+        at, want = 5, []
+        for _ in range(n):
+            at = at * 3 % 1000 + 2
+            want.append(at)
+        assert got == want
