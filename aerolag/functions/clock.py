@@ -34,6 +34,34 @@ def add_minutes(ts: Column, minutes: Column) -> Column:
     return ts + F.expr("INTERVAL '1' MINUTE") * minutes
 
 
+def _readings(ts: Column, zone: Column) -> tuple[Column, Column, Column]:
+    """The UTC time of a zone's clock time, the one by the offset that holds hours later, and if that one fits."""
+    utc = F.lit("UTC")
+    later = ts + F.expr("INTERVAL '6' HOUR")
+    second = ts - (later - F.convert_timezone(zone, utc, later))
+    return F.convert_timezone(zone, utc, ts), second, F.convert_timezone(utc, zone, second) == ts
+
+
+def zone_to_utc(ts: Column, zone: Column, overlap: str = "first") -> Column:
+    """Clock time in a named zone to UTC, by the zone's rules on that day.
+
+    A time that the clock shows twice is read as its "first" or "second" time.
+    A time that it skips is read with the offset before the change, that is as
+    late as if the change had not come yet. No zone gives null.
+    """
+    if overlap not in ("first", "second"):
+        raise ValueError(f"unknown reading {overlap!r} of a repeated time")
+    first, second, fits = _readings(ts, zone)
+    return first if overlap == "first" else F.when(fits, second).otherwise(first)
+
+
+def clock_state(ts: Column, zone: Column) -> Column:
+    """Whether a zone's clock shows a time "once", "twice" or "never"."""
+    first, second, fits = _readings(ts, zone)
+    shown = F.convert_timezone(F.lit("UTC"), zone, first) == ts
+    return F.when(~shown, "never").when(fits & (first != second), "twice").when(shown, "once")
+
+
 def whole_minutes(later: Column, earlier: Column) -> Column:
     """Minutes from ``earlier`` to ``later``, cut toward zero."""
     gap = later - earlier

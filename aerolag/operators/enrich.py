@@ -34,6 +34,47 @@ def join_volume(df: DataFrame, volume: DataFrame) -> DataFrame:
     return df
 
 
+def fold_volume(df: DataFrame, starts: DataFrame, order: str = "DEP_TS") -> DataFrame:
+    """(foldCol, airport, avg_yr_flights): mean departures per year as known when a fold begins to validate.
+
+    ``starts`` has one row per fold: foldCol and start. Only rows before a
+    fold's start count for it, and the years are those seen before it; rows
+    without a time count for none. An airport not seen before has no row.
+
+    The fact table is read once, down to counts per airport, year and period
+    between two starts. What is known at a start is the sum over the periods
+    before it.
+    """
+    # One row per fold. Times travel as text, which no zone setting can move.
+    found = starts.select("foldCol", F.col("start").cast("string").alias("start")).filter("start is not null").collect()
+    if not found:
+        return df.select(F.lit(0).alias("foldCol"), F.col("ORIGIN").alias("airport"), F.lit(0.0).alias("avg_yr_flights")).limit(0)
+    times = sorted({r["start"] for r in found})
+    kind = df.schema[order].dataType
+    # In period p a row is known from the start with number p on.
+    edges = F.array(*[F.lit(t).cast(kind) for t in times])
+    period = F.size(F.filter(edges, lambda t: t <= F.col(order)))
+    counts = df.filter(F.col(order).isNotNull()).groupBy("ORIGIN", "YEAR", period.alias("period")).agg(F.count("*").alias("flights"))
+    counts = stage_table(counts, "fold-volume").filter(F.col("period") < len(times))
+    known = counts.withColumn("at", F.explode(F.sequence(F.col("period"), F.lit(len(times) - 1))))
+    years = known.groupBy("at").agg(F.count_distinct("YEAR").cast("double").alias("years"))
+    volume = known.groupBy("at", F.col("ORIGIN").alias("airport")).agg(F.sum("flights").alias("flights"))
+    folds = F.explode(F.array(*[
+        F.struct(F.lit(times.index(r["start"])).alias("at"), F.lit(r["foldCol"]).alias("foldCol")) for r in found
+    ])).alias("f")
+    by_fold = df.sparkSession.range(1).select(folds).select("f.*")  # one row per fold
+    return volume.join(F.broadcast(years), "at").join(F.broadcast(by_fold), "at").select(
+        "foldCol", "airport", (F.col("flights") / F.col("years")).alias("avg_yr_flights")
+    )
+
+
+def join_fold_volume(folded: DataFrame, volume: DataFrame) -> DataFrame:
+    """Volume of the origin and of the destination as known at each row's fold."""
+    for role, out in (("ORIGIN", "origin_yr_flights"), ("DEST", "dest_yr_flights")):
+        folded = lookup_join(folded, volume, {"foldCol": "foldCol", role: "airport"}, {"avg_yr_flights": out})
+    return folded
+
+
 def paid_holidays(holidays: DataFrame, country: str, first: dt.date, last: dt.date) -> DataFrame:
     """Dates of a country's paid holidays in a closed range.
 

@@ -92,3 +92,8 @@ def assign_folds(
     return df.withColumn("__place", F.explode(places)).select(
         *df.columns, F.col("__place.fold").alias("foldCol"), F.col("__place.split").alias("split")
     )
+
+
+def validation_starts(folded: DataFrame, order: str = "DEP_TS") -> DataFrame:
+    """(foldCol, start): the first time that each fold validates on."""
+    return folded.filter(F.col("split") == "val").groupBy("foldCol").agg(F.min(order).alias("start"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolag.functions.clock import add_hours, add_minutes, local_timestamp, whole_minutes
+from aerolag.functions.clock import add_hours, add_minutes, local_timestamp, whole_minutes, zone_to_utc
 from aerolag.operators.joins import lookup_join
 from aerolag.schema import AIRCRAFT
 from aerolag.sources.stage import Stages, stage_table
@@ -23,12 +23,32 @@ def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual
     Arrival is departure plus the actual elapsed time; the rule "reference"
     adds the arrival delay on top, as the published features did.
     """
-    if arrival_rule not in ("actual", "reference"):
-        raise ValueError(f"unknown arrival rule {arrival_rule!r}")
     placed = lookup_join(
         df, offsets, {"ORIGIN_AIRPORT_ID": "ORIGIN_AIRPORT_ID"}, {"UTC_offset_hours": "UTC_offset"}
     )
     scheduled = add_hours(local_timestamp(F.col("FL_DATE"), F.col("CRS_DEP_TIME")), F.col("UTC_offset"))
+    return _from_schedule(placed, scheduled, arrival_rule)
+
+
+def add_utc_times_by_zone(
+    df: DataFrame, zones: DataFrame, arrival_rule: str = "actual", overlap: str = "first"
+) -> DataFrame:
+    """The same from zone names, so that clock changes are followed.
+
+    ``zones`` holds a zone name per ORIGIN_AIRPORT_ID, in UTC_zone. ``overlap``
+    says which of two times is meant when the clock shows one twice; skipped
+    times are read with the offset before the change. ``clock_state`` of
+    ``functions.clock`` tells such rows.
+    """
+    placed = lookup_join(df, zones, {"ORIGIN_AIRPORT_ID": "ORIGIN_AIRPORT_ID"}, {"UTC_zone": "UTC_zone"})
+    scheduled = zone_to_utc(local_timestamp(F.col("FL_DATE"), F.col("CRS_DEP_TIME")), F.col("UTC_zone"), overlap)
+    return _from_schedule(placed, scheduled, arrival_rule)
+
+
+def _from_schedule(placed: DataFrame, scheduled: Column, arrival_rule: str) -> DataFrame:
+    """Departure and arrival from the scheduled departure in UTC."""
+    if arrival_rule not in ("actual", "reference"):
+        raise ValueError(f"unknown arrival rule {arrival_rule!r}")
     in_air = F.col("DEP_DELAY") + F.col("ACTUAL_ELAPSED_TIME")
     if arrival_rule == "reference":
         in_air = in_air + F.col("ARR_DELAY")

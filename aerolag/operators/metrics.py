@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolag.functions.scalar import ratio
 from aerolag.schema import LABEL
+from aerolag.sources.stage import stage_table
 
 METRICS = ("precision", "recall", "accuracy", "mean_pr", "f1", "fbeta")
 
@@ -85,10 +85,44 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = LAB
     return metrics(wide.select(F.explode(rows).alias("r")).select("r.threshold", "r.c.*"), beta)
 
 
+def ranking_table(df: DataFrame, score: str, label: str = LABEL, pred: str = "prediction") -> DataFrame:
+    """(auc_roc, f1_macro, f1_weighted) in one row, from one pass over the rows.
+
+    The area is exact: the share of pairs of a positive and a negative row in
+    which the positive one scores higher, half for ties. Rows are counted per
+    score before they move; the scores are range-sorted and written once, and
+    negatives below a score are those of the partitions before it and those
+    before it in its own. Null without both classes. Rows without a label, a
+    score or a prediction do not count.
+    """
+    positive = F.col(pred) == 1
+    by_score = (
+        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull() & F.col(pred).isNotNull())
+        .groupBy(F.col(score).alias("score")).agg(*_counts(F.col(label), positive))
+        .withColumns({"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")})
+    )
+    placed = stage_table(by_score.orderBy("score").withColumn("__part", F.spark_partition_id()), "scores")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    below_part = placed.groupBy("__part").agg(F.sum("neg").alias("n")).select(
+        "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__below"))
+    inside = Window.partitionBy("__part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition of the sort, so always small.
+    ranked = placed.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(F.broadcast(below_part), "__part")
+    below = (F.col("below") + F.col("__below")) * 2 + F.col("neg")
+    # Twice the number of pairs, which may pass 64 bits.
+    pairs = F.sum(F.col("pos").cast("decimal(19,0)") * below.cast("decimal(19,0)"))
+    total = ranked.agg(pairs.alias("pairs"), *[F.sum(c).alias(c) for c in ("pos", "neg", "tp", "fp", "fn", "tn")])
+    tp, fp, fn, tn, pos, neg = (F.col(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg"))
+    f1, f0 = ratio(2 * tp, 2 * tp + fp + fn), ratio(2 * tn, 2 * tn + fn + fp)
+    area = F.col("pairs").cast("double") / (2.0 * pos.cast("double") * neg.cast("double"))
+    return total.select(
+        F.when((pos > 0) & (neg > 0), area).alias("auc_roc"),
+        ((f1 + f0) / 2).alias("f1_macro"),
+        ratio(f1 * pos + f0 * neg, pos + neg).alias("f1_weighted"),
+    )
+
+
 def ranking_scores(df: DataFrame, label: str = LABEL) -> dict[str, float]:
-    """Area under the ROC curve, and F1 averaged over the two classes."""
-    labelled = df.filter(F.col(label).isNotNull())
-    area = BinaryClassificationEvaluator(labelCol=label).evaluate(labelled)
-    by_class = MulticlassClassificationEvaluator(labelCol=label)
-    f1 = {i: by_class.setMetricName("fMeasureByLabel").setMetricLabel(float(i)).evaluate(labelled) for i in (0, 1)}
-    return {"auc_roc": area, "f1_macro": (f1[0] + f1[1]) / 2, "f1_weighted": by_class.setMetricName("f1").evaluate(labelled)}
+    """Exact area under the ROC curve of a model's raw scores, and F1 averaged over the two classes."""
+    scored = df.withColumn("__score", vector_to_array("rawPrediction")[1])
+    return ranking_table(scored, "__score", label).first().asDict()

@@ -9,91 +9,140 @@ from pyspark.sql import functions as F
 
 from aerolag.functions.geo import EARTH_RADIUS_KM, central_angle, haversine_km
 from aerolag.functions.scalar import hour_block
-from aerolag.operators.joins import lookup_join
+from aerolag.operators.joins import BROADCAST_ROWS, broadcast_if_small, lookup_join
 from aerolag.sources.stage import stage_table
 
-# Cell sides in degrees, each a quarter of the one before, down to about 5 km.
-_SIDES = (45.0, 11.25, 2.8125, 0.703125, 0.17578125, 0.0439453125)
+# Levels of the grid; a cell of the last one is less than a metre wide.
+_DEPTH = 25
+# Levels that one plan walks down before its rows are staged.
+_LEVELS_PER_STAGE = 2
+# Places that a cell may hold without being split.
+LEAF_PLACES = 32
 # Kept cells may be this much (radians, under 0.1 m) farther than the bound, so
 # that rounding never loses the nearest station or a tie.
 _SLACK = 1e-8
 
 
-def _cell(lat: Column, lon: Column, side: float) -> Column:
-    rows = round(180 / side)
-    cols = round(360 / side)
-    r = F.least(F.floor((lat + 90) / side), F.lit(rows - 1))
-    c = F.least(F.floor((lon + 180) / side), F.lit(cols - 1))
-    return (r * cols + c).cast("bigint")
+def _finest(value: Column, low: float, width: float) -> Column:
+    """Which of the last level's rows or columns a coordinate lies in."""
+    at = F.floor((value - low) / F.lit(width / (1 << _DEPTH))).cast("long")
+    return F.least(F.greatest(at, F.lit(0)), F.lit((1 << _DEPTH) - 1))
 
 
-def _cell_bounds(lat: Column, lon: Column, cell: Column, side: float) -> tuple[Column, Column]:
+def _cell_id(level: Column, row: Column, col: Column) -> Column:
+    """A number for each cell of each level: levels begin at powers of four."""
+    return F.lit(1).cast("long") * F.pow(F.lit(4.0), level).cast("long") + row * F.pow(F.lit(2.0), level).cast("long") + col
+
+
+def _cell_bounds(lat: Column, lon: Column, cell: Column) -> tuple[Column, Column]:
     """Least and greatest angle from a point to anything in a cell.
 
     Any place in the cell is reached from its centre by half a side along the
     meridian and half a side along a parallel, which is longest nearest to the
     equator.
     """
-    cols = round(360 / side)
-    south = F.floor(cell / cols) * side - 90
-    mid_lat = south + side / 2
-    mid_lon = F.pmod(cell, F.lit(cols)) * side - 180 + side / 2
-    flattest = F.when((south <= 0) & (south + side >= 0), F.lit(0.0)).otherwise(
-        F.least(F.abs(south), F.abs(south + side))
+    cells = F.pow(F.lit(2.0), cell["level"])
+    height, breadth = F.lit(180.0) / cells, F.lit(360.0) / cells
+    south = cell["row"] * height - 90
+    flattest = F.when((south <= 0) & (south + height >= 0), F.lit(0.0)).otherwise(
+        F.least(F.abs(south), F.abs(south + height))
     )
-    reach = F.radians(F.lit(side / 2)) * (F.lit(1.0) + F.cos(F.radians(flattest)))
-    middle = central_angle(lat, lon, mid_lat, mid_lon)
+    reach = F.radians(height / 2) + F.radians(breadth / 2) * F.cos(F.radians(flattest))
+    middle = central_angle(lat, lon, south + height / 2, cell["col"] * breadth - 180 + breadth / 2)
     return F.greatest(middle - reach, F.lit(0.0)), middle + reach
 
 
+def _station_grid(stations: DataFrame, station: str, leaf_places: int) -> tuple[DataFrame, DataFrame]:
+    """The occupied cells of an adaptive grid, and the places in its leaves.
+
+    Cells are quartered as long as they hold more than ``leaf_places`` places;
+    those with a single occupied quarter are passed over. (id, parent, depth,
+    level, row, col, leaf) per cell; (id, places) per leaf. Only places at less
+    than a metre of each other can share a larger leaf.
+    """
+    places = stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy("lat", "lon").agg(
+        F.min(station).alias("station"))
+    places = places.withColumns({"r": _finest(F.col("lat"), -90.0, 180.0), "c": _finest(F.col("lon"), -180.0, 360.0)})
+    places = stage_table(places, "places")
+    at_levels = places.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(_DEPTH)))).withColumns({
+        "row": F.expr(f"shiftright(r, {_DEPTH} - level)"), "col": F.expr(f"shiftright(c, {_DEPTH} - level)")})
+    counts = at_levels.groupBy("level", "row", "col").agg(F.count("*").alias("n")).withColumns({
+        "id": _cell_id(F.col("level"), F.col("row"), F.col("col")),
+        "parent": F.when(F.col("level") > 0, _cell_id(F.col("level") - 1, F.shiftright("row", 1), F.shiftright("col", 1))),
+        "leaf": (F.col("n") <= leaf_places) | (F.col("level") == _DEPTH),
+    })
+    counts = stage_table(counts, "cell-counts")
+    split = counts.filter(~F.col("leaf")).select(F.col("id").alias("parent"))
+    occupied = counts.filter("level = 0").unionByName(counts.join(split, "parent").select(counts.columns)).drop("n")
+    occupied = stage_table(occupied, "occupied")
+    branching = occupied.groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("quarters")).filter("quarters > 1")
+    kept = occupied.filter("leaf or level = 0").unionByName(
+        occupied.filter("not leaf and level > 0").join(branching.select("id"), "id", "left_semi")).drop("parent")
+    kept = stage_table(kept, "kept-cells")
+    # The cells on the way to a place are each other's ancestors.
+    inside = at_levels.withColumn("id", _cell_id(F.col("level"), F.col("row"), F.col("col")))
+    down = Window.partitionBy("r", "c", "station").orderBy("level")
+    tree = inside.join(kept.select("id"), "id").select(
+        "id", F.lag("id").over(down).alias("parent"), (F.row_number().over(down) - 1).alias("depth")).distinct()
+    cells = stage_table(kept.join(tree, "id"), "cells")
+    leaves = inside.join(cells.filter("leaf").select("id"), "id").groupBy("id").agg(
+        F.collect_list(F.struct("lat", "lon", "station")).alias("places"))
+    return cells, stage_table(leaves, "leaves")
+
+
 def nearest_station(
     airports: DataFrame,
     stations: DataFrame,
     airport: str = "airport",
     station: str = "station",
+    leaf_places: int = LEAF_PLACES,
 ) -> DataFrame:
     """The station closest to each airport, ties by station id.
 
     Exact, without comparing every airport with every station: airports walk
-    down a grid of ever smaller cells, keeping the occupied cells that could
-    still hold their nearest station, and meet single stations only in the
-    last cells. Stations at the same place are one until the end.
+    down a grid whose cells are quartered while they hold many stations, keep
+    the occupied cells that could still hold their nearest station, and meet
+    single stations in the leaves left. A level's bound is a minimum by airport;
+    airports are shuffled once and stay where they are while cells are small
+    enough to broadcast. Stations at the same place are one until the end.
     """
-    places = stations.groupBy("lat", "lon").agg(F.min(station).alias(station)).filter(
-        F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    )
-    ids = [f"c{i}" for i in range(len(_SIDES))]
-    grid = places.withColumns({c: _cell(F.col("lat"), F.col("lon"), side) for c, side in zip(ids, _SIDES)})
-    grid = stage_table(grid, "grid")
-
-    # One place per airport, however often the airport is listed.
-    points = (
+    cells, leaves = _station_grid(stations, station, leaf_places)
+    per_depth = {r["depth"]: r["n"] for r in cells.groupBy("depth").agg(F.count("*").alias("n")).collect()}  # one row a depth
+    cell = F.struct("id", "level", "row", "col", "leaf")
+    # One place per airport, however often the airport is listed. Few bytes make
+    # much work here, so partitions are as many as the session has, whatever their size.
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    walk = (
         airports.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
         .groupBy(F.col(airport).alias("__a")).agg(F.min(F.struct("lat", "lon")).alias("at"))
-        .select("__a", F.col("at.lat").alias("__lat"), F.col("at.lon").alias("__lon"))
+        .select("__a", F.col("at.lat").alias("__lat"), F.col("at.lon").alias("__lon")).repartition(tasks, "__a")
     )
-    top = round(180 / _SIDES[0]) * round(360 / _SIDES[0])
-    walk = points.withColumn("c0", F.explode(F.sequence(F.lit(0), F.lit(top - 1)).cast("array<bigint>"))).join(
-        grid.select("c0").distinct(), "c0"
-    )
-    per_airport = Window.partitionBy("__a")
-    for i, (cell, side) in enumerate(zip(ids, _SIDES)):
-        if i:
-            children = grid.select(ids[i - 1], cell).distinct()
-            walk = walk.join(children, ids[i - 1]).drop(ids[i - 1])
-        least, greatest = _cell_bounds(F.col("__lat"), F.col("__lon"), F.col(cell), side)
-        walk = (
-            walk.withColumns({"__least": least, "__greatest": greatest})
-            .withColumn("__bound", F.min("__greatest").over(per_airport))
-            .filter(F.col("__least") <= F.col("__bound") + _SLACK)
-            .drop("__least", "__greatest", "__bound")
-        )
+    root = cells.filter("level = 0").select(F.array(cell).alias("cells"))
+    walk = walk.join(F.broadcast(root))  # one row
+    for depth in range(1, max(per_depth, default=0) + 1):
+        children = cells.filter(F.col("depth") == depth).select(F.col("parent").alias("__p"), cell.alias("__child"))
+        if per_depth[depth] <= BROADCAST_ROWS:
+            children = F.broadcast(children)
+        walk = walk.withColumn("__cell", F.explode("cells")).drop("cells")
+        # A leaf has no children and stays as it is.
+        walk = walk.withColumn("__key", F.when(~F.col("__cell.leaf"), F.col("__cell.id")))
+        walk = walk.join(children, F.col("__key") == F.col("__p"), "left")
+        walk = walk.withColumn("__cell", F.coalesce("__child", "__cell")).select("__a", "__lat", "__lon", "__cell")
+        least, greatest = _cell_bounds(F.col("__lat"), F.col("__lon"), F.col("__cell"))
+        walk = walk.groupBy("__a", "__lat", "__lon").agg(
+            F.min(greatest).alias("__bound"), F.collect_list(F.struct(least.alias("least"), F.col("__cell").alias("cell"))).alias("__all"))
+        kept = F.filter("__all", lambda x: x["least"] <= F.col("__bound") + _SLACK)
+        walk = walk.select("__a", "__lat", "__lon", F.transform(kept, lambda x: x["cell"]).alias("cells"))
+        if depth % _LEVELS_PER_STAGE == 0:
+            walk = stage_table(walk, "walk").repartition(tasks, "__a")
     # Rounded to a millimetre, so that equal distances tie in any order of arithmetic.
-    distance = F.round(haversine_km(F.col("__lat"), F.col("__lon"), F.col("lat"), F.col("lon")), 6)
-    best = F.min(F.struct(distance.alias("km"), F.col(station).alias("station")))
+    def distance(p: Column) -> Column:
+        return F.round(haversine_km(F.col("__lat"), F.col("__lon"), p["lat"], p["lon"]), 6)
+
+    best = F.array_min(F.transform("places", lambda p: F.struct(distance(p).alias("km"), p["station"].alias("station"))))
     return (
-        walk.join(grid.select(ids[-1], "lat", "lon", station), ids[-1])
-        .groupBy(F.col("__a").alias(airport)).agg(best.alias("b"))
+        walk.select("__a", "__lat", "__lon", F.explode("cells.id").alias("id")).join(broadcast_if_small(leaves), "id")
+        .groupBy(F.col("__a").alias(airport)).agg(F.min(best).alias("b"))
         .select(airport, F.col("b.station").alias("closest_station"), F.col("b.km").alias("distance_km"))
     )
 

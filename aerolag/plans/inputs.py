@@ -206,6 +206,50 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crowded(table_: DataFrame, key: str, name: str) -> DataFrame:
+    """Places within three hundredths of a degree, from a table's key."""
+    k = F.col(key)
+    return table_.select(
+        k.alias(name),
+        (F.lit(10.005) + ((k * 7919) % 10007).cast("double") * 3e-6).alias("lat"),
+        (F.lit(20.005) + ((k * 104729) % 10009).cast("double") * 3e-6).alias("lon"),
+    )
+
+
+def crowded_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place per order, all in one town."""
+    return _crowded(table(spark, sf_dir, "orders"), "o_orderkey", "airport")
+
+
+def crowded_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station per part, all in the same town."""
+    return _crowded(table(spark, sf_dir, "part"), "p_partkey", "station")
+
+
+# Zones with and without clock changes.
+ZONES = ("America/New_York", "America/Chicago", "America/Phoenix", "Asia/Kolkata", "America/Los_Angeles")
+
+
+def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone name per airport; some airports have none."""
+    k = F.col("n_nationkey")
+    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (k % len(ZONES)).cast("int") + 1)
+    return table(spark, sf_dir, "nation").select(k.alias("ORIGIN_AIRPORT_ID"), F.when(k != 24, zone).alias("UTC_zone"))
+
+
+def dated_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flight per line item at any minute of the day, over seven years of clock changes."""
+    minute = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 1440
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("FLIGHT_ID"),
+        (F.col("l_suppkey") % 25).cast("int").alias("ORIGIN_AIRPORT_ID"),
+        _ntz("l_shipdate").cast("date").cast("string").alias("FL_DATE"),
+        (F.floor(minute / 60) * 100 + minute % 60).cast("int").alias("CRS_DEP_TIME"),
+        F.col("l_quantity").alias("DEP_DELAY"),
+        F.lit(60.0).alias("ACTUAL_ELAPSED_TIME"),
+    )
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather rows as observations of five stations, several per hour."""
     e = F.col("FLIGHT_ID")

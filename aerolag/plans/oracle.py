@@ -148,6 +148,28 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT s_suppkey AS station, cast((s_suppkey * 53) % 170 AS double) - 85 + 0.1e0 AS lat,
           cast((s_suppkey * 97) % 350 AS double) - 175 + 0.7e0 AS lon
         FROM supplier"""),
+    **{name: ((), f"""
+        SELECT {key} AS {out}, 10.005e0 + cast(({key} * 7919) % 10007 AS double) * 3e-6 AS lat,
+          20.005e0 + cast(({key} * 104729) % 10009 AS double) * 3e-6 AS lon
+        FROM {base}""") for name, key, out, base in (
+            ("crowded_sites", "o_orderkey", "airport", "orders"), ("crowded_stations", "p_partkey", "station", "part"))},
+    # Clock changes of the United States from 1987 to 2006: first Sunday of April and last of October, at two.
+    "clock_changes": ((), """
+        SELECT y, make_date(y, 4, 1) + cast((7 - dayofweek(make_date(y, 4, 1))) % 7 AS integer) AS spring,
+          make_date(y, 10, 31) - cast(dayofweek(make_date(y, 10, 31)) AS integer) AS autumn
+        FROM (SELECT unnest(range(1987, 2007)) AS y)"""),
+    "dated_flights": ((), """
+        SELECT l_orderkey * 10 + l_linenumber AS FLIGHT_ID, cast(l_suppkey % 25 AS integer) AS airport,
+          l_quantity AS DEP_DELAY, cast(cast(l_shipdate AS date) AS timestamp)
+            + to_minutes(cast((l_orderkey * 37 + l_linenumber * 11) % 1440 AS bigint)) AS clock
+        FROM lineitem"""),
+    "zoned": (("dated_flights", "clock_changes"), """
+        SELECT *, CASE WHEN airport = 24 THEN NULL ELSE [5, 6, 7, -5.5, 8][airport % 5 + 1] END AS hours,
+          airport % 5 NOT IN (2, 3) AND airport <> 24 AS changes,
+          clock >= cast(spring AS timestamp) + INTERVAL 2 HOUR AND clock < cast(spring AS timestamp) + INTERVAL 3 HOUR AS skipped,
+          clock >= cast(autumn AS timestamp) + INTERVAL 1 HOUR AND clock < cast(autumn AS timestamp) + INTERVAL 2 HOUR AS repeated,
+          clock >= cast(spring AS timestamp) + INTERVAL 3 HOUR AND clock < cast(autumn AS timestamp) + INTERVAL 2 HOUR AS summer
+        FROM dated_flights JOIN clock_changes ON y = extract(year FROM clock)"""),
     "observations": (("weather",), """
         SELECT FLIGHT_ID AS obs_id, FLIGHT_ID % 5 AS station, DEP_TS AS obs_ts,
           CASE WHEN FLIGHT_ID % 10 = 3 THEN 'FM-12' WHEN FLIGHT_ID % 2 = 0 THEN 'FM-15' ELSE 'SOA' END AS REPORT_TYPE,

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolag.functions.clock import clock_state, local_timestamp
 from aerolag.operators import enrich, graph, history, spatial, weather
 from aerolag.plans import inputs
 from aerolag.plans.oracle import sql
@@ -106,6 +107,36 @@ def _(spark, d):
     return with_utc(spark, d, "reference").select("FLIGHT_ID", *_UTC)
 
 
+def _zoned_sql(overlap: str) -> str:
+    summer = "summer" if overlap == "first" else "summer AND NOT repeated"
+    return sql(f"""
+        SELECT FLIGHT_ID, state, CRS_DEP_DATETIME_UTC,
+          CRS_DEP_DATETIME_UTC + to_minutes(cast(DEP_DELAY + 60 AS bigint)) AS ARR_DATETIME_UTC,
+          CRS_DEP_DATETIME_UTC + to_minutes(cast(DEP_DELAY AS bigint)) AS DEP_DATETIME_UTC
+        FROM (SELECT FLIGHT_ID, DEP_DELAY,
+          CASE WHEN hours IS NOT NULL THEN CASE WHEN changes AND skipped THEN 'never' WHEN changes AND repeated THEN 'twice'
+            ELSE 'once' END END AS state,
+          clock + to_minutes(cast(60 * (hours - CASE WHEN changes AND {summer} THEN 1 ELSE 0 END) AS bigint)) AS CRS_DEP_DATETIME_UTC
+        FROM zoned)""", "zoned")
+
+
+def by_zone(spark: SparkSession, d: str, overlap: str) -> DataFrame:
+    placed = history.add_utc_times_by_zone(inputs.dated_flights(spark, d), inputs.zone_lookup(spark, d), overlap=overlap)
+    clock = local_timestamp(F.col("FL_DATE"), F.col("CRS_DEP_TIME"))
+    return placed.withColumn("state", clock_state(clock, F.col("UTC_zone"))).select("FLIGHT_ID", "state", *_UTC)
+
+
+@query("utc_times_zones", _zoned_sql("first"))
+def _(spark, d):
+    """Zone names in place of fixed offsets; skipped and repeated times are told apart."""
+    return by_zone(spark, d, "first")
+
+
+@query("utc_times_zones_second", _zoned_sql("second"))
+def _(spark, d):
+    return by_zone(spark, d, "second")
+
+
 _LAGS = tuple(
     f"PREV_{c}_{i}" for c in ("ARR_DATETIME_UTC", "ARR_DELAY", "DEP_DATETIME_UTC", "DEP_DELAY") for i in (1, 2, 3)
 )
@@ -165,15 +196,15 @@ def _(spark, d):
     return spatial.shift_block(inputs.flights(spark, d), "DEP_TS").select("FLIGHT_ID", "block_date", "block")
 
 
-def _nearest_sql(view: str) -> str:
+def _nearest_sql(view: str, stations: str = "stations") -> str:
     return sql(f"""
         SELECT airport, station AS closest_station, km AS distance_km FROM (
           SELECT airport, station, round(asin(sqrt(least(1e0,
             sin(radians(s.lat - a.lat) / 2) * sin(radians(s.lat - a.lat) / 2)
             + cos(radians(a.lat)) * cos(radians(s.lat))
               * sin(radians(s.lon - a.lon) / 2) * sin(radians(s.lon - a.lon) / 2)))) * 2 * 6371e0, 6) AS km
-          FROM {view} a CROSS JOIN stations s)
-        QUALIFY row_number() OVER (PARTITION BY airport ORDER BY km, station) = 1""", view, "stations")
+          FROM {view} a CROSS JOIN {stations} s)
+        QUALIFY row_number() OVER (PARTITION BY airport ORDER BY km, station) = 1""", view, stations)
 
 
 @query("nearest_station", _nearest_sql("airports"))
@@ -186,6 +217,12 @@ def _(spark, d):
     return spatial.nearest_station(inputs.customer_sites(spark, d), inputs.stations(spark, d))
 
 
+@query("nearest_station_dense", _nearest_sql("crowded_sites", "crowded_stations"))
+def _(spark, d):
+    """All sites and stations within a few kilometres."""
+    return spatial.nearest_station(inputs.crowded_sites(spark, d), inputs.crowded_stations(spark, d))
+
+
 _PACKED = ("WND", "CIG", "VIS", "TMP", "DEW", "SLP")
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolag.operators import folds, metrics, outliers, sampling, weather
+from aerolag.operators import enrich, folds, metrics, outliers, sampling, weather
 from aerolag.plans import inputs
 from aerolag.plans.oracle import metrics_sql, sql
 from aerolag.plans.registry import query, rounded
+from aerolag.sources.stage import stage_table
 
 TRIMMED = ("DEP_DELAY", "DISTANCE", "ACTUAL_ELAPSED_TIME")
 
@@ -77,6 +78,34 @@ def _(spark, d):
     return train.unionByName(val).select("FLIGHT_ID", "split")
 
 
+_KNOWN = """
+    known AS (SELECT foldCol, ORIGIN AS airport, count(*) / cast(any_value(years) AS double) AS volume
+      FROM flights JOIN (SELECT foldCol, s, (SELECT count(DISTINCT "YEAR") FROM flights WHERE DEP_TS < s) AS years
+        FROM (SELECT foldCol, min(DEP_TS) AS s FROM folds WHERE split = 'val' GROUP BY foldCol)) ON DEP_TS < s
+      GROUP BY ALL)"""
+
+
+def known_volume(spark: SparkSession, d: str, placed: DataFrame) -> DataFrame:
+    return stage_table(enrich.fold_volume(inputs.flights(spark, d), folds.validation_starts(placed)), "fold-volume")
+
+
+@query("fold_volume", f"{sql('', 'folds')}, {_KNOWN} SELECT foldCol, airport, round(volume, 6) AS avg_yr_flights FROM known")
+def _(spark, d):
+    """Flights per airport and year that had departed when each fold's validation begins."""
+    return rounded(known_volume(spark, d, folded(spark, d)))
+
+
+@query("fold_volume_join", f"""{sql('', 'folds')}, {_KNOWN}
+    SELECT FLIGHT_ID, f.foldCol, split, round(o.volume, 6) AS origin_yr_flights, round(t.volume, 6) AS dest_yr_flights
+    FROM folds f LEFT JOIN known o ON o.foldCol = f.foldCol AND o.airport = f.ORIGIN
+      LEFT JOIN known t ON t.foldCol = f.foldCol AND t.airport = f.DEST""")
+def _(spark, d):
+    placed = folded(spark, d)
+    joined = enrich.join_fold_volume(placed, known_volume(spark, d, placed))
+    return rounded(joined, only=["origin_yr_flights", "dest_yr_flights"]).select(
+        "FLIGHT_ID", "foldCol", "split", "origin_yr_flights", "dest_yr_flights")
+
+
 @query("test_prep", sql("""
     SELECT FLIGHT_ID, DEP_DEL15, OP_UNIQUE_CARRIER, DISTANCE,
       CASE WHEN AW1 <> '' OR AW2 <> '' OR MW1 <> '' THEN 1 ELSE 0 END AS specWeather
@@ -137,6 +166,20 @@ def _(spark, d):
     return rounded(metrics.fold_stability(fold_metrics(spark, d)))
 
 
+@query("ranking_scores_given", sql("""
+    SELECT round(pairs / (p * cast(n AS double)), 6) AS auc_roc, round((f1 + f0) / 2, 6) AS f1_macro,
+      round((f1 * p + f0 * n) / (p + n), 6) AS f1_weighted
+    FROM (SELECT sum(pos * (coalesce(below, 0) + neg / 2e0)) AS pairs FROM (
+        SELECT pos, neg, sum(neg) OVER (ORDER BY p1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM (
+          SELECT p1, count(*) FILTER (DEP_DEL15 = 1) AS pos, count(*) FILTER (DEP_DEL15 = 0) AS neg FROM predictions
+          WHERE DEP_DEL15 IS NOT NULL AND p1 IS NOT NULL GROUP BY p1))),
+      (SELECT tp + fn AS p, fp + tn AS n, 2e0 * tp / (2 * tp + fp + fn) AS f1, 2e0 * tn / (2 * tn + fn + fp) AS f0 FROM confusion)""",
+    "predictions", "confusion"))
+def _(spark, d):
+    """Exact area and F1 figures of made-up probabilities, many of them tied."""
+    return rounded(metrics.ranking_table(inputs.predictions(spark, d), "p1"))
+
+
 @query("threshold_sweep", sql(f"SELECT *, {metrics_sql()} FROM (" + " UNION ALL ".join(f"""
     SELECT cast({t} AS double) AS threshold, count(*) FILTER (DEP_DEL15 = 1 AND p1 > {t}) AS tp,
       count(*) FILTER (DEP_DEL15 = 0 AND p1 > {t}) AS fp, count(*) FILTER (DEP_DEL15 = 1 AND NOT p1 > {t}) AS fn,

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from aerolag.functions import clock
 from aerolag.functions.clock import local_timestamp, whole_minutes
 from aerolag.operators import history
 
@@ -142,3 +143,35 @@ def test_a_key_in_many_tiny_partitions(spark):
     halos = {r["__part"]: [s["t"] for s in r["__halo"]] for r in history._partition_ends(
         df, "TAIL_NUM", "t", "FLIGHT_ID", ["t"], 3).collect()}
     assert halos == {1: [0], 2: [11, 10, 0], 3: [20, 11, 10], 4: [30, 20, 11], 5: [44, 43, 42]}
+
+
+def test_zone_rules(spark):
+    """Skipped and repeated times, zones without changes, a change of half an hour, no zone; in any session zone."""
+    rows = [
+        ("America/New_York", dt.datetime(2021, 3, 14, 2, 30)), ("America/New_York", dt.datetime(2021, 11, 7, 1, 30)),
+        ("America/New_York", dt.datetime(2021, 7, 1, 12, 0)), ("America/Phoenix", dt.datetime(2021, 3, 14, 2, 30)),
+        ("Asia/Kolkata", dt.datetime(2021, 1, 1, 0, 0)), ("Australia/Lord_Howe", dt.datetime(2021, 4, 4, 1, 45)),
+        ("Europe/London", dt.datetime(2021, 3, 28, 1, 0)), (None, dt.datetime(2021, 1, 1)), ("Asia/Tokyo", None),
+    ]
+    df = spark.createDataFrame(rows, "zone string, t timestamp_ntz")
+    want = [
+        ("never", dt.datetime(2021, 3, 14, 7, 30), dt.datetime(2021, 3, 14, 7, 30)),
+        ("twice", dt.datetime(2021, 11, 7, 5, 30), dt.datetime(2021, 11, 7, 6, 30)),
+        ("once", dt.datetime(2021, 7, 1, 16, 0), dt.datetime(2021, 7, 1, 16, 0)),
+        ("once", dt.datetime(2021, 3, 14, 9, 30), dt.datetime(2021, 3, 14, 9, 30)),
+        ("once", dt.datetime(2020, 12, 31, 18, 30), dt.datetime(2020, 12, 31, 18, 30)),
+        ("twice", dt.datetime(2021, 4, 3, 14, 45), dt.datetime(2021, 4, 3, 15, 15)),
+        ("never", dt.datetime(2021, 3, 28, 1, 0), dt.datetime(2021, 3, 28, 1, 0)),
+        (None, None, None), (None, None, None),
+    ]
+    zone, t = F.col("zone"), F.col("t")
+    out = df.select(clock.clock_state(t, zone), clock.zone_to_utc(t, zone), clock.zone_to_utc(t, zone, "second"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in (before, "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            assert [tuple(r) for r in out.collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    with pytest.raises(ValueError):
+        clock.zone_to_utc(t, zone, "third")

@@ -120,3 +120,43 @@ def test_volume_ignores_the_test_year(spark):
     assert joined.count() == 15
     assert {tuple(r) for r in joined.select("ORIGIN", "origin_yr_flights", "dest_yr_flights").distinct().collect()} == {
         ("a", 3.0, None), ("b", None, 3.0)}
+
+
+def test_cells_with_many_stations_are_quartered(spark):
+    """Ten thousand stations in a cell a few kilometres wide: none meets a site in more than a few leaves."""
+    k = F.col("id")
+    town = lambda name: spark.range(10_000).select(
+        k.alias(name), (F.lit(40.0) + (k * 7919 % 10007) * 3e-6).alias("lat"), (F.lit(-73.0) + (k * 104729 % 10009) * 3e-6).alias("lon"))
+    cells, leaves = spatial._station_grid(town("station"), "station", 32)
+    assert leaves.selectExpr("max(size(places))").first()[0] <= 32
+    assert leaves.selectExpr("sum(size(places))").first()[0] == 10_000
+    assert cells.selectExpr("max(depth)").first()[0] <= 10
+    sites = town("airport").limit(300).withColumn("lat", F.col("lat") + 1e-6)
+    got = {r["airport"]: r["distance_km"] for r in spatial.nearest_station(sites, town("station")).collect()}
+    stations = [tuple(r) for r in town("station").collect()]
+    for a in sites.limit(40).collect():
+        assert got[a["airport"]] == pytest.approx(min(_km(tuple(a), s) for s in stations), abs=2e-6)
+
+
+def test_no_stations(spark):
+    none = spark.createDataFrame([(1, None, 0.0)], "station long, lat double, lon double")
+    sites = spark.createDataFrame([(1, 1.0, 2.0)], "airport long, lat double, lon double")
+    assert spatial.nearest_station(sites, none).collect() == []
+    one = spark.createDataFrame([(7, 1.0, 2.0), (3, 1.0, 2.0)], "station long, lat double, lon double")
+    assert [tuple(r) for r in spatial.nearest_station(sites, one).collect()] == [(1, 3, 0.0)]
+
+
+def test_volume_known_at_a_fold(spark):
+    when = [dt.datetime(2019, 12, 31), dt.datetime(2020, 1, 5), dt.datetime(2020, 1, 9), dt.datetime(2020, 1, 9, 0, 0, 1), None]
+    rows = [(o, t.year if t else 2020, t) for t in when for o in ("A", "B")] + [("C", 2020, dt.datetime(2020, 2, 1))]
+    df = spark.createDataFrame(rows, "ORIGIN string, YEAR int, DEP_TS timestamp_ntz")
+    starts = spark.createDataFrame(
+        [(0, dt.datetime(2020, 1, 9)), (1, dt.datetime(2021, 1, 1)), (2, dt.datetime(2020, 1, 9)), (3, dt.datetime(2000, 1, 1))],
+        "foldCol int, start timestamp_ntz")
+    got = {(r["foldCol"], r["airport"]): r["avg_yr_flights"] for r in enrich.fold_volume(df, starts).collect()}
+    assert got == {**{(f, o): 1.0 for f in (0, 2) for o in "AB"}, (1, "A"): 2.0, (1, "B"): 2.0, (1, "C"): 0.5}
+    assert enrich.fold_volume(df, starts.limit(0)).count() == 0
+    joined = enrich.join_fold_volume(
+        spark.createDataFrame([(1, "A", "C"), (0, "A", "C"), (3, "A", None)], "foldCol int, ORIGIN string, DEST string"),
+        enrich.fold_volume(df, starts))
+    assert sorted(tuple(r)[0:1] + tuple(r)[3:] for r in joined.collect()) == [(0, 1.0, None), (1, 2.0, 0.5), (3, None, None)]

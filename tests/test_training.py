@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -185,3 +187,24 @@ def test_query_searches_whole_grid_and_all_trials(spark, rows, monkeypatch):
     assert seen["kind"] == "mlp1" and len(seen["grid"]) == 27
     QUERIES["search_then_blind_test"](spark, "")
     assert seen["trials"].count() == 10
+
+
+def test_exact_area_under_the_curve(spark):
+    """All pairs by hand, with ties, missing scores and a single class."""
+    rng = random.Random(6)
+    rows = [(float(rng.random() < 0.3), rng.choice([0.1, 0.2, 0.5, 0.5, 0.9, rng.random()]), float(rng.random() < 0.5)) for _ in range(400)]
+    rows += [(None, 0.3, 1.0), (1.0, None, 1.0), (0.0, 0.2, None)]
+    df = spark.createDataFrame(rows, "DEP_DEL15 double, s double, prediction double").repartition(7)
+    got = metrics.ranking_table(df, "s").first()
+    whole = [r for r in rows if None not in r]
+    pos, neg = ([s for y, s, _ in whole if y == c] for c in (1.0, 0.0))
+    area = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert got["auc_roc"] == pytest.approx(area, abs=1e-12)
+
+    def f1(c):
+        tp = sum(y == c == p for y, _, p in whole)
+        return 2 * tp / (sum(y == c for y, _, _ in whole) + sum(p == c for _, _, p in whole))
+
+    assert got["f1_macro"] == pytest.approx((f1(1.0) + f1(0.0)) / 2)
+    assert got["f1_weighted"] == pytest.approx((f1(1.0) * len(pos) + f1(0.0) * len(neg)) / len(whole))
+    assert metrics.ranking_table(df.filter("DEP_DEL15 = 1"), "s").first()["auc_roc"] is None
