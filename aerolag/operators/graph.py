@@ -35,16 +35,21 @@ def pagerank(
     reset: float = 0.15,
     tol: float | None = 0.01,
     max_iter: int = 1000,
-    steps_per_stage: int = 3,
+    steps_per_stage: int = 2,
 ) -> DataFrame:
     """PageRank of every season at once.
 
     Each flight is an edge of its own, so a step from an airport follows its
     flights in proportion to their number. Ranks start at 1 and are scaled in
     the end to sum to the number of airports of the season. Stops when no rank
-    of any season moves by more than ``tol``; ranks that still move after
-    ``max_iter`` steps are an error. ``tol=None`` takes exactly ``max_iter``.
-    ``steps`` tells how many it took.
+    would move by more than ``tol`` in a step; ranks that still move after
+    ``max_iter`` steps are an error. ``tol=None`` takes exactly ``max_iter``
+    steps of all airports. ``steps`` tells how many a season took.
+
+    With a ``tol``, a step concerns only airports that would move by more: each
+    adds what it would move by to its rank and passes its share of it on. What
+    an airport got but has not passed on stays with it. So fewer flights are
+    joined as ranks settle, and a season without such airports takes no part.
 
     Every step is one join and one map-side combined sum. Ranks are written to
     the stage folder every ``steps_per_stage`` steps, so that neither the plan
@@ -53,19 +58,19 @@ def pagerank(
     """
     by = list(by)
     with Stages(edges.sparkSession) as stages:
-        ranks, steps = _iterate(stages, edges, by, reset, tol, max_iter, steps_per_stage)
+        links, vertices = _links(stages, edges, by)
+        if tol is None:
+            ranks = _iterate(stages, links, vertices, by, reset, max_iter, steps_per_stage)
+        else:
+            ranks = _settle(stages, links, vertices, by, reset, tol, max_iter, steps_per_stage)
         ranks = stages.keep(ranks)
-    totals = ranks.groupBy(*by).agg((F.count("*") / F.sum("rank")).alias("scale"))
-    return ranks.join(totals, by).select(
-        *by, "id", (F.col("rank") * F.col("scale")).alias("pagerank"), F.lit(steps).alias("steps")
-    )
+    totals = ranks.groupBy(*by).agg(
+        (F.count("*") / F.sum("rank")).alias("scale"), F.max("last").cast("int").alias("steps"))
+    return ranks.join(totals, by).select(*by, "id", (F.col("rank") * F.col("scale")).alias("pagerank"), "steps")
 
 
-def _iterate(
-    stages: Stages, edges: DataFrame, by: list[str], reset: float, tol: float | None, max_iter: int,
-    steps_per_stage: int,
-) -> tuple[DataFrame, int]:
-    """The last stage table of ranks, and the number of steps."""
+def _links(stages: Stages, edges: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Staged links with the share of a source's flights that each has, and the vertices."""
     edges = stages.put(edges, "edges")
     out = edges.groupBy(*by, "src").agg(F.sum("flights").alias("total"))
     vertices = season_vertices(edges, by)
@@ -77,29 +82,66 @@ def _iterate(
         ),
         "links",
     )
-    ranks = vertices.withColumns({"rank": F.lit(1.0), "before": F.lit(None).cast("double")})
-    ranks = stages.put(ranks, "ranks")
-    self_rank = F.max(F.when(F.col("src") == F.col("dst"), F.col("rank")))
+    return links, vertices
+
+
+def _iterate(
+    stages: Stages, links: DataFrame, vertices: DataFrame, by: list[str], reset: float, max_iter: int, steps_per_stage: int,
+) -> DataFrame:
+    """The stage table of ranks after ``max_iter`` steps of all vertices."""
+    ranks = stages.put(vertices.withColumn("rank", F.lit(1.0)), "ranks")
     steps = 0
-    moved = None
     while steps < max_iter:
         earlier = ranks
         for _ in range(min(steps_per_stage, max_iter - steps)):
             old = ranks.select(*by, F.col("id").alias("src"), "rank")
             ranks = links.join(old, [*by, "src"]).groupBy(*by, F.col("dst").alias("id")).agg(
-                (F.lit(reset) + F.lit(1 - reset) * F.sum(F.col("rank") * F.col("p"))).alias("rank"),
-                self_rank.alias("before"),
-            )
+                (F.lit(reset) + F.lit(1 - reset) * F.sum(F.col("rank") * F.col("p"))).alias("rank"))
             steps += 1
         ranks = stages.put(ranks, "ranks")
         stages.drop(earlier)
-        if tol is not None:
-            moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("before"))).alias("d")).first()["d"]
-            if moved is None or moved <= tol:
-                return ranks, steps
-    if tol is not None and moved is not None:
-        raise RuntimeError(f"a rank still moves by {moved} after {steps} steps, more than {tol}")
-    return ranks, steps
+    last = stages.put(ranks.withColumn("last", F.lit(steps)), "ranks")
+    stages.drop(ranks)
+    return last
+
+
+def _settle(
+    stages: Stages, links: DataFrame, vertices: DataFrame, by: list[str], reset: float, tol: float, max_iter: int,
+    steps_per_stage: int,
+) -> DataFrame:
+    """The stage table of ranks once no vertex has more than ``tol`` to pass on.
+
+    ``rest`` is what a vertex would move by in a step of all; ``sent`` counts the
+    steps it took part in, and ``last`` is the last of them.
+    """
+    moving = F.abs("rest") > tol
+    # From rank 1 everywhere: what the first step of all would change.
+    first = links.groupBy(*by, F.col("dst").alias("id")).agg(
+        (F.lit(reset) + F.lit(1 - reset) * F.sum("p") - 1.0).alias("rest"))
+    state = vertices.join(first, [*by, "id"]).withColumns({
+        "rank": F.lit(1.0), "sent": F.lit(0).cast("long"), "last": F.lit(0).cast("long")})
+    state = stages.put(state, "ranks")
+    steps = 0
+    while state.filter(moving).limit(1).count():
+        if steps >= max_iter:
+            most = state.agg(F.max(F.abs("rest")).alias("d")).first()["d"]
+            raise RuntimeError(f"a rank still moves by {most} after {steps} steps, more than {tol}")
+        earlier = state
+        for _ in range(min(steps_per_stage, max_iter - steps)):
+            steps += 1
+            active = state.filter(moving).select(*by, F.col("id").alias("src"), F.col("rest").alias("push"))
+            got = links.filter("p > 0").join(active, [*by, "src"]).groupBy(*by, F.col("dst").alias("id")).agg(
+                (F.lit(1 - reset) * F.sum(F.col("push") * F.col("p"))).alias("got"))
+            state = state.join(got, [*by, "id"], "left").select(
+                *by, "id",
+                (F.when(moving, F.lit(0.0)).otherwise(F.col("rest")) + F.coalesce("got", F.lit(0.0))).alias("rest"),
+                F.when(moving, F.col("rank") + F.col("rest")).otherwise(F.col("rank")).alias("rank"),
+                (F.col("sent") + moving.cast("long")).alias("sent"),
+                F.when(moving, F.lit(steps).cast("long")).otherwise(F.col("last")).alias("last"),
+            )
+        state = stages.put(state, "ranks")
+        stages.drop(earlier)
+    return state
 
 
 def centrality_spread(ranks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolag.operators import enrich, graph, spatial
 from aerolag.operators.joins import lookup_join
+from aerolag.sources.stage import Stages
 
 
 def _km(a, b):
@@ -72,6 +73,29 @@ def test_ranks_do_not_depend_on_stage_length(spark):
     assert runs[0] == runs[1] == runs[2]
 
 
+def test_settled_ranks_match_all_steps_and_seasons_stop_alone(spark):
+    """Pushing only what still moves ends where repeating whole steps does, with less work for quick seasons."""
+    rng = random.Random(3)
+    edges = [(2020, 2, "x", "y", 5)]
+    edges += [(2020, 3, str(rng.randrange(30)), str(rng.randrange(30)), rng.randint(1, 9)) for _ in range(120)]
+    df = spark.createDataFrame(edges, "YEAR int, QUARTER int, src string, dst string, flights long")
+    df = df.groupBy("YEAR", "QUARTER", "src", "dst").agg(F.sum("flights").alias("flights"))
+    settled = {(r["QUARTER"], r["id"]): r for r in graph.pagerank(df, tol=1e-5).collect()}
+    whole = {(r["QUARTER"], r["id"]): r for r in graph.pagerank(df, tol=None, max_iter=30, steps_per_stage=6).collect()}
+    assert settled.keys() == whole.keys()
+    assert all(settled[k]["pagerank"] == pytest.approx(whole[k]["pagerank"], abs=1e-3) for k in whole)
+    steps = {q: settled[k]["steps"] for k in settled for q in [k[0]]}
+    assert steps[2] < steps[3] and steps[2] <= 2
+    with Stages(spark) as stages:
+        links, vertices = graph._links(stages, df, ["YEAR", "QUARTER"])
+        state = graph._settle(stages, links, vertices, ["YEAR", "QUARTER"], 0.15, 1e-5, 1000, 2)
+        sent = {r["QUARTER"]: r["n"] for r in state.groupBy("QUARTER").agg(F.sum("sent").alias("n")).collect()}
+        third = sum(k[0] == 3 for k in settled)
+        assert sent[2] <= 2 and sent[3] < steps[3] * third
+    with pytest.raises(RuntimeError, match="still moves"):
+        graph.pagerank(df, tol=1e-5, max_iter=2)
+
+
 @pytest.mark.parametrize("now,later", [((2015, 4), (2016, 1)), ((2015, 1), (2015, 2))])
 def test_season_shift(spark, now, later):
     row = enrich.shift_season(spark.createDataFrame([now], "YEAR int, QUARTER int")).first()
