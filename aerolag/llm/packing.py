@@ -15,6 +15,7 @@ the corpus. Ranks and offsets are computed where the rows are.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -41,22 +42,25 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 
 class Tokenizer:
-    """Ids of the public byte-level vocabulary; special strings in a text are ordinary text.
+    """Ids of the public byte-level vocabulary, as ``tokenizers`` gives them without added special tokens.
 
     The same vocabulary is published for two libraries. The rank file's library
-    is about four times faster and gives the same ids; a text that it cannot
-    take goes to the other.
+    is about four times faster and gives the same ids, but for strings that the
+    vocabulary names as tokens of their own (``marks``). Texts that hold one, and
+    texts that it cannot take, go to the other.
     """
 
-    def __init__(self, json_path: str, ranks_path: str):
+    def __init__(self, json_path: str, ranks_path: str, marks: list[str]):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("public", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.json_path, self.slow = json_path, None
+        self.json_path, self.slow, self.marks = json_path, None, marks
 
     def ids(self, text: str) -> np.ndarray:
+        if any(m in text for m in self.marks):
+            return self.plain(text)
         try:
             return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), np.uint32)
         except ValueError:  # its matcher gives up on some very long runs
@@ -67,13 +71,20 @@ class Tokenizer:
             from tokenizers import Tokenizer as Plain
 
             self.slow = Plain.from_file(self.json_path)
-            self.slow.encode_special_tokens = True
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+def marks(json_path: str) -> list[str]:
+    """Strings that a vocabulary names as tokens of their own."""
+    with open(json_path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]
+
+
 def _cut(json_path: str, ranks_path: str, capacity: int, with_ids: bool):
+    special = marks(json_path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(json_path, ranks_path)
+        tokenizer = Tokenizer(json_path, ranks_path, special)
         for batch in batches:
             owner, starts, lengths, sums, totals, pieces = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
