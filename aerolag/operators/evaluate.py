@@ -130,7 +130,9 @@ def permutation_importance(
     """How far a metric falls when one feature is taken from another row.
 
     Every row is paired with one other row of the table by joining its place
-    in id order with the place in a hash order, once for all features.
+    in id order with the place in a hash order, once for all features. Each row
+    then stands once as it is and once per feature with that one exchanged; all
+    of them are encoded and scored in one pass and counted by feature.
     """
     features = list(features or spec.features)
     rows = df.filter(F.col(spec.label).isNotNull()).select(spec.row_id, spec.label, *spec.features)
@@ -140,12 +142,13 @@ def permutation_importance(
         rows.select(spec.row_id, *features), [shuffled, spec.row_id], "__place"
     ).select("__place", *[F.col(c).alias(f"__other_{c}") for c in features])
     paired = own.join(other, "__place")
-    with held(paired):
-        tables = {"": fitted.transform(paired)}
-        for c in features:
-            tables[c] = fitted.transform(paired.withColumn(c, F.col(f"__other_{c}")))
-        found = scores(tables, spec)
-    base = found.pop("")[metric]
-    lines = [(c, base, v[metric], base - v[metric]) for c, v in found.items()]
+    copies = paired.withColumn("__taken", F.explode(F.array(F.lit(""), *[F.lit(c) for c in features])))
+    exchanged = copies.withColumns({
+        c: F.when(F.col("__taken") == c, F.col(f"__other_{c}")).otherwise(F.col(c)) for c in features})
+    counted = metrics(confusion(fitted.transform(exchanged), spec.label, by=["__taken"]))
+    found = {r["__taken"]: r.asDict() for r in counted.collect()}  # one row per feature
+    none = dict.fromkeys(METRICS, 0.0)  # of a table without rows
+    base = found.pop("", none)[metric]
+    lines = [(c, base, found.get(c, none)[metric], base - found.get(c, none)[metric]) for c in features]
     table = df.sparkSession.createDataFrame(lines, "feature string, base double, permuted double, drop double")
     return table.orderBy(F.desc("drop"), "feature")

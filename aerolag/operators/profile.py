@@ -61,6 +61,46 @@ def exact_quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, q1 string, q2 string, q3 string")
 
 
+def quantile_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str], k: int = 800) -> DataFrame:
+    """One quantile sketch per group and column, to be kept as columns of a table.
+
+    A larger ``k`` gives larger sketches and a smaller error of ranks: about
+    1.3 % of the rows at 200, 0.4 % at 800, however many rows there are.
+    """
+    return df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(k)).alias(c) for c in cols])
+
+
+def merged_quantiles(sketches: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(column, n, q1, q2, ...) of the groups in a table of sketches, without their rows.
+
+    Filter the table first for a range of groups. A column without values has null quantiles.
+    """
+    one = _per_column(sketches, cols, lambda c: [F.kll_merge_agg_double(c).alias("s")])
+    n = F.kll_sketch_get_n_double("s")
+    return one.select("column", n.alias("n"), *[
+        F.when(n > 0, F.kll_sketch_get_quantile_double("s", F.lit(p))).alias(f"q{i}") for i, p in enumerate(probs, 1)])
+
+
+def rank_errors(
+    df: DataFrame, found: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)
+) -> DataFrame:
+    """(column, n, e1, e2, ...): by what share of the rows each quantile found misses its rank, from the rows.
+
+    0 where the wanted rank lies among the rows equal to the value.
+    """
+    values = {r["column"]: [r[f"q{i}"] for i in range(1, len(probs) + 1)] for r in found.collect()}  # one row a column
+
+    def error(c: str, value: float | None, p: float) -> Column:
+        if value is None:
+            return F.lit(None).cast("double")
+        n, v = F.count(c), F.col(c).cast("double")
+        below, upto = F.count_if(v < value) / n, F.count_if(v <= value) / n
+        return F.greatest(below - p, p - upto, F.lit(0.0))
+
+    return _per_column(df, cols, lambda c: [
+        F.count(c).alias("n"), *[error(c, v, p).alias(f"e{i}") for i, (v, p) in enumerate(zip(values[c], probs), 1)]])
+
+
 def sigma_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> dict[str, tuple[float, float]]:
     """Mean plus and minus ``k`` standard deviations, for columns that vary."""
     row = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in cols]).first()

@@ -10,6 +10,7 @@ from aerolag.operators import breakdown, enrich, graph, history, profile, weathe
 from aerolag.plans import inputs
 from aerolag.plans.oracle import sql
 from aerolag.plans.registry import query, rounded
+from aerolag.sources.stage import stage_table
 
 PARSED = (
     "wind_direction", "wind_speed", "wind_speed_quality", "ceiling_height", "visibility", "temperature",
@@ -139,6 +140,22 @@ def _(spark, d):
     return profile.quartiles(parsed(spark, d), NUMBERS, accuracy=10_000)
 
 
+_SKETCHED = ("DEP_DELAY", "DISTANCE", "CRS_ELAPSED_TIME")
+
+
+@query("quartiles_daily_sketches", sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, true AS within1, true AS within2, true AS within3
+        FROM flights WHERE FL_DATE BETWEEN '2024-01-05' AND '2024-01-20'""" for c in _SKETCHED
+), "flights"))
+def _(spark, d):
+    """Quartiles of a range of days from one stored sketch a day; all ranks must be within one percent."""
+    flights = inputs.flights(spark, d)
+    days = F.col("FL_DATE").between("2024-01-05", "2024-01-20")
+    stored = stage_table(profile.quantile_sketches(flights, _SKETCHED, ["FL_DATE"]), "sketches")
+    errors = profile.rank_errors(flights.filter(days), profile.merged_quantiles(stored.filter(days), _SKETCHED), _SKETCHED)
+    return errors.select("column", "n", *[(F.col(f"e{i}") <= 0.01).alias(f"within{i}") for i in (1, 2, 3)])
+
+
 @query("outlier_pct_3sigma", sql(" UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) FILTER ({c} < m - 3 * s OR {c} > m + 3 * s) AS outliers,
         round(100e0 * count(*) FILTER ({c} < m - 3 * s OR {c} > m + 3 * s) / count(*), 6) AS outlier_pct

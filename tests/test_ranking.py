@@ -176,3 +176,18 @@ def test_folds_ignore_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert here == there
+
+
+def test_sketches_merge_over_any_range(spark):
+    rng = random.Random(8)
+    rows = [(i % 9, rng.gauss(i % 9, 3) if i % 11 else None, None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "day int, v double, empty double").repartition(5)
+    stored = profile.quantile_sketches(df, ["v", "empty"], ["day"])
+    for low, high in ((0, 8), (3, 3), (2, 6)):
+        some = df.filter(F.col("day").between(low, high))
+        found = profile.merged_quantiles(stored.filter(F.col("day").between(low, high)), ["v", "empty"])
+        got = {r["column"]: r for r in found.collect()}
+        assert got["v"]["n"] == some.select("v").dropna().count()
+        assert tuple(got["empty"])[1:] == (0, None, None, None)
+        errors = {r["column"]: tuple(r)[2:] for r in profile.rank_errors(some, found, ["v", "empty"]).collect()}
+        assert max(errors["v"]) <= 0.01 and errors["empty"] == (None, None, None)
