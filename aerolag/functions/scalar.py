@@ -37,6 +37,15 @@ def hour_block(hour: Column) -> Column:
     return F.concat(hh, F.lit("00-"), hh, F.lit("59"))
 
 
+# Hours before which the public block codes have one block for the whole night, and that block (fixed values).
+NIGHT_ENDS, NIGHT_BLOCK = 6, "0001-0559"
+
+
+def public_block(hour: Column) -> Column:
+    """Clock hour as the block that public schedules use: hour blocks from six on, one for the night before."""
+    return F.when(hour < NIGHT_ENDS, F.lit(NIGHT_BLOCK)).otherwise(hour_block(hour))
+
+
 def floor_bin(value: Column, width: int) -> Column:
     """Lower edge of the fixed-width bin of a value."""
     return (F.floor(value / F.lit(width)) * F.lit(width)).cast("int")

@@ -92,11 +92,12 @@ def flag_near_dates(
     """1 on rows dated within ``days`` of any of the dates, else 0.
 
     The dates are widened to the days around them; that lookup has at most one
-    row per calendar day.
+    row per calendar day. It is staged, so measuring and joining it do not find
+    the dates twice.
     """
-    near = dates.select(
+    near = stage_table(dates.select(
         F.explode(F.sequence(F.date_sub("date", days), F.date_add("date", days))).alias("day")
-    ).distinct().withColumn("near", F.lit(1))
+    ).distinct().withColumn("near", F.lit(1)), "near-dates")
     dated = df.withColumn("__day", F.col(day_col).try_cast("date"))
     flagged = lookup_join(dated, near, {"__day": "day"}, {"near": "__near"})
     return flagged.withColumn(out, F.coalesce("__near", F.lit(0))).drop("__day", "__near")

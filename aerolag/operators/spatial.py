@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolag.functions.geo import EARTH_RADIUS_KM, central_angle, haversine_km
-from aerolag.functions.scalar import hour_block
+from aerolag.functions.scalar import hour_block, public_block
 from aerolag.operators.joins import BROADCAST_ROWS, broadcast_if_small, lookup_join
 from aerolag.sources.stage import stage_table
 
@@ -157,10 +157,18 @@ def add_closest_station(df: DataFrame, nearest: DataFrame, role: str = "ORIGIN",
     return lookup_join(df, nearest, {role: airport}, {"closest_station": "closest_station"})
 
 
-def shift_block(df: DataFrame, ts: str, hours: int = 2, date_out: str = "block_date", block_out: str = "block") -> DataFrame:
-    """Date and hour block of a time moved back; midnight rolls the date."""
+def shift_block(
+    df: DataFrame, ts: str, hours: int = 2, date_out: str = "block_date", block_out: str = "block", night: bool = False
+) -> DataFrame:
+    """Date and block of a time moved back; midnight rolls the date.
+
+    Blocks are hours; with ``night`` the hours before six are one block, as in
+    public schedules. The time is moved and not the block, so a time that leaves
+    the night block backwards gets the evening's block of the day before.
+    """
     moved = F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(hours))
-    return df.withColumns({date_out: moved.cast("date"), block_out: hour_block(F.hour(moved))})
+    block = public_block(F.hour(moved)) if night else hour_block(F.hour(moved))
+    return df.withColumns({date_out: moved.cast("date"), block_out: block})
 
 
 def latest_observation(

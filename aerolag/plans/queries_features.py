@@ -196,6 +196,16 @@ def _(spark, d):
     return spatial.shift_block(inputs.flights(spark, d), "DEP_TS").select("FLIGHT_ID", "block_date", "block")
 
 
+@query("time_block_night", sql("""
+    SELECT FLIGHT_ID, cast(DEP_TS - INTERVAL 2 HOUR AS date) AS block_date,
+      CASE WHEN extract(hour FROM DEP_TS - INTERVAL 2 HOUR) < 6 THEN '0001-0559'
+        ELSE strftime(DEP_TS - INTERVAL 2 HOUR, '%H') || '00-' || strftime(DEP_TS - INTERVAL 2 HOUR, '%H') || '59' END AS block
+    FROM flights""", "flights"))
+def _(spark, d):
+    """Blocks of public schedules, with one for the night."""
+    return spatial.shift_block(inputs.flights(spark, d), "DEP_TS", night=True).select("FLIGHT_ID", "block_date", "block")
+
+
 def _nearest_sql(view: str, stations: str = "stations") -> str:
     return sql(f"""
         SELECT airport, station AS closest_station, km AS distance_km FROM (
