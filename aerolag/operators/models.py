@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from aerolag.operators.encode import FEATURES, encoder_pipeline, encoder_stages, vector_width
+from aerolag.operators.encode import FEATURES, encoder_stages, vector_width
 from aerolag.schema import FeatureSpec
 
 # Best hyper-parameters per kind of model. The boosted trees were
@@ -60,10 +60,13 @@ def make_model(kind: str, spec: FeatureSpec, width: int | None = None, **params)
 
 
 def model_pipeline(kind: str, spec: FeatureSpec, train: DataFrame, impute: str = "mean", **params) -> Pipeline:
-    """Encoders and classifier as one estimator, to be fitted on ``train``."""
-    width = None
+    """Encoders and classifier as one estimator, to be fitted on ``train``.
+
+    A perceptron needs the encoders' result to know its width, so its encoders
+    are fitted here and stand in the pipeline as they are.
+    """
+    encoders, width = encoder_stages(spec, impute, scaling_for(kind)), None
     if kind.startswith("mlp"):
-        width = vector_width(encoder_pipeline(spec, impute).fit(train).transform(train))
-    return Pipeline(stages=[
-        *encoder_stages(spec, impute, scaling_for(kind)), make_model(kind, spec, width, **params)
-    ])
+        fitted = Pipeline(stages=encoders).fit(train)
+        encoders, width = fitted.stages, vector_width(fitted.transform(train))
+    return Pipeline(stages=[*encoders, make_model(kind, spec, width, **params)])

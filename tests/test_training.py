@@ -1,10 +1,10 @@
 import random
 
 import pytest
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from aerolag.operators import encode, evaluate, metrics, sampling, search
+from aerolag.operators import encode, evaluate, metrics, models, sampling, search
 from aerolag.plans import queries_models
 from aerolag.plans.catalog import QUERIES
 from aerolag.schema import FeatureSpec
@@ -208,3 +208,10 @@ def test_exact_area_under_the_curve(spark):
     assert got["f1_macro"] == pytest.approx((f1(1.0) + f1(0.0)) / 2)
     assert got["f1_weighted"] == pytest.approx((f1(1.0) * len(pos) + f1(0.0) * len(neg)) / len(whole))
     assert metrics.ranking_table(df.filter("DEP_DEL15 = 1"), "s").first()["auc_roc"] is None
+
+
+def test_perceptron_encoders_are_fitted_once(spark, rows):
+    """The pipeline holds fitted encoders and an open classifier; another kind holds open encoders."""
+    stages = models.model_pipeline("mlp1", SPEC, rows).getStages()
+    assert isinstance(stages[-1], Estimator) and not any(isinstance(s, Estimator) for s in stages[:-1])
+    assert any(isinstance(s, Estimator) for s in models.model_pipeline("lr", SPEC, rows).getStages()[:-1])
