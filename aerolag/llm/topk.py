@@ -35,6 +35,8 @@ from aerolag.sources.stage import Stages
 LISTS = 4
 # Queries and rows that meet in one cell.
 QUERY_BLOCK, ROW_BLOCK = 4096, 8192
+# Partitions at most; further cells share them and are still one group each.
+MOST_TASKS = 20_000
 # Queries of a cell that are scored at once; a score matrix then has 2 million entries.
 CHUNK = 256
 
@@ -139,7 +141,7 @@ def _in_cells(queries: DataFrame, rows: DataFrame, shape: tuple[int, int], work:
     q_blocks, x_blocks = shape
     keys = ["dim", "q_block", "x_block"]
     # Few bytes make much work here, so partitions are counted by cells and not left to their sizes.
-    tasks = q_blocks * x_blocks
+    tasks = min(q_blocks * x_blocks, MOST_TASKS)
     left = _cells(queries, "q_block", "x_block", q_blocks, x_blocks).repartition(tasks, *keys)
     right = _cells(rows, "x_block", "q_block", x_blocks, q_blocks).repartition(tasks, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)
