@@ -208,13 +208,14 @@ def _(spark, d):
 
 def _nearest_sql(view: str, stations: str = "stations") -> str:
     return sql(f"""
-        SELECT airport, station AS closest_station, km AS distance_km FROM (
+        SELECT airport, b.station AS closest_station, b.km AS distance_km FROM (
+          SELECT airport, min(struct_pack(km := km, station := station)) AS b FROM (
           SELECT airport, station, round(asin(sqrt(least(1e0,
             sin(radians(s.lat - a.lat) / 2) * sin(radians(s.lat - a.lat) / 2)
             + cos(radians(a.lat)) * cos(radians(s.lat))
               * sin(radians(s.lon - a.lon) / 2) * sin(radians(s.lon - a.lon) / 2)))) * 2 * 6371e0, 6) AS km
           FROM {view} a CROSS JOIN {stations} s)
-        QUALIFY row_number() OVER (PARTITION BY airport ORDER BY km, station) = 1""", view, stations)
+        GROUP BY airport)""", view, stations)
 
 
 @query("nearest_station", _nearest_sql("airports"))
