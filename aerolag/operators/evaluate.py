@@ -57,15 +57,20 @@ def encoded_folds(
     learns them once from all rows, which lets validation rows leak in.
     """
     shared = None if per_fold else encoder_pipeline(spec, impute, scaling).fit(df)
-    folds = []
-    for i in fold_numbers(df):
-        train, val = fold(df, i)
-        encoder = shared or encoder_pipeline(spec, impute, scaling).fit(train)
-        folds.append({
-            name: encoder.transform(part).select(spec.label, "final_features")
-            for name, part in (("train", train), ("val", val))
-        })
-    return folds
+    return [encoded_fold(df, i, spec, impute, scaling, shared) for i in fold_numbers(df)]
+
+
+def encoded_fold(
+    df: DataFrame, i: int, spec: FeatureSpec, impute: str = "mean", scaling: str = "scaled",
+    encoder: PipelineModel | None = None,
+) -> dict[str, DataFrame]:
+    """One fold of :func:`encoded_folds`, by encoders fitted on its training rows unless given."""
+    train, val = fold(df, i)
+    encoder = encoder or encoder_pipeline(spec, impute, scaling).fit(train)
+    return {
+        name: encoder.transform(part).select(spec.label, "final_features")
+        for name, part in (("train", train), ("val", val))
+    }
 
 
 def fit_folds(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -12,12 +13,12 @@ from statistics import mean, median, pstdev
 from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.operators.encode import encoder_pipeline, vector_width
-from aerolag.operators.evaluate import cross_validate, encoded_folds, fit_folds
+from aerolag.operators.evaluate import cross_validate, encoded_fold, fit_folds
+from aerolag.operators.ledger import TrialLedger, search_id
 from aerolag.operators.metrics import METRICS, weighted_fold_mean
 from aerolag.operators.models import make_model, scaling_for
 from aerolag.operators.sampling import fold_numbers
@@ -107,6 +108,19 @@ def _recency_means(done: Sequence[Mapping]) -> dict[str, float]:
     return means
 
 
+def draws(space: Mapping, trials: int, seed: int = 42) -> list[dict]:
+    """Parameters of each trial; they depend on the seed and the trial number only."""
+    drawn = []
+    for t in range(trials):
+        rng = random.Random(seed * 1_000_003 + t)
+        drawn.append({name: p.draw(rng) for name, p in space.items()})
+    return drawn
+
+
+def _as_text(params: Mapping) -> dict[str, str]:
+    return {k: str(v) for k, v in params.items()}
+
+
 def random_search(
     df: DataFrame,
     kind: str,
@@ -117,6 +131,7 @@ def random_search(
     seed: int = 42,
     parallelism: int = 2,
     startup: int = 5,
+    ledger: str | None = None,
     **fixed,
 ) -> DataFrame:
     """Try drawn parameters over the folds; one row per trial, best first.
@@ -128,56 +143,76 @@ def random_search(
     trials that do not fail see all folds; another one stops after the fold at
     which its running goal falls below the median of theirs. The same search
     therefore gives the same table on any cluster.
+
+    With a folder named ``ledger`` each trial's scores on a fold are recorded
+    there as soon as they are known. The same search on the same rows takes
+    what it finds there and fits the rest only, so one that lost its driver goes on
+    where it stopped, and one with more trials reuses those before. A fold whose
+    trials are all recorded is not encoded. Give staged rows.
+
+    Each trial's jobs run in a scheduler pool of their own, which shares the
+    cluster evenly where ``spark.scheduler.mode`` is FAIR, and in a job group
+    named after the trial.
     """
     df = df.filter(F.col(spec.label).isNotNull())
     spark = df.sparkSession
     space = space_for(kind) if space is None else space
-    drawn = []
-    for t in range(trials):
-        rng = random.Random(seed * 1_000_003 + t)
-        drawn.append({name: p.draw(rng) for name, p in space.items()})
+    drawn = draws(space, trials, seed)
     done: list[list[dict]] = [[] for _ in drawn]
     curves: list[list[float]] = [[] for _ in drawn]
     reasons: dict[int, str] = {}
     stopped: set[int] = set()
 
     with held(df):
-        encoded = {
-            impute: encoded_folds(df, spec, impute, scaling_for(kind))
-            for impute in sorted({p.get("impute", "mean") for p in drawn})
-        }
-        count = len(next(iter(encoded.values()), []))
+        book, name, known = None, "search", {}
+        if ledger is not None:
+            book = TrialLedger(spark, ledger)
+            name = search_id(df, kind, spec, space=space, seed=seed, fixed=fixed)
+            known = book.found(name)
+        numbers = fold_numbers(df)
         # Trials only wait for Spark jobs; the scheduler shares the cluster among them.
         pool = ThreadPool(max(1, min(parallelism, trials)))
         try:
-            for i in range(count):
-                def run(t: int, i: int = i) -> list[dict] | str:
+            for i in numbers:
+                active = [t for t in range(trials) if t not in reasons and t not in stopped]
+                missing = [t for t in active if (t, i) not in known]
+                encoded = {
+                    impute: encoded_fold(df, i, spec, impute, scaling_for(kind))
+                    for impute in sorted({drawn[t].get("impute", "mean") for t in missing})
+                }
+
+                def run(t: int, i: int = i, encoded: Mapping = encoded) -> list[dict] | str:
+                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{t}")
+                    spark.sparkContext.setJobGroup(f"{name}-{t}", f"trial {t}, fold {i}")
                     params = dict(drawn[t])
-                    part = encoded[params.pop("impute", "mean")][i]
+                    part = encoded[params.pop("impute", "mean")]
                     try:
-                        rows = fit_folds([part], kind, spec, **{**fixed, **params})
+                        rows = [{**r, "foldCol": i} for r in fit_folds([part], kind, spec, **{**fixed, **params})]
                     except (IllegalArgumentException, TypeError, ValueError) as e:
-                        return str(e)
-                    return [{**r, "foldCol": i} for r in rows]
-
-                active = [t for t in range(trials) if t not in reasons and t not in stopped]
-                with held(*[f for folds in encoded.values() for f in folds[i].values()]):
-                    found = pool.map(inheritable_thread_target(spark)(run), active, chunksize=1)
-                for t, rows in zip(active, found):
+                        rows = re.sub(r"_[0-9a-f]{12}\b", "", str(e))  # less the model's random name
+                    if book is not None:
+                        book.record(name, t, i, _as_text(drawn[t]), rows)
+                    return rows
+
+                with held(*[f for part in encoded.values() for f in part.values()]):
+                    fitted = pool.map(inheritable_thread_target(spark)(run), missing, chunksize=1)
+                found = {**known, **{(t, i): rows for t, rows in zip(missing, fitted)}}
+                for t in active:
+                    rows = found[t, i]
                     if isinstance(rows, str):
                         reasons[t] = rows
                     else:
                         done[t] += rows
                         curves[t].append(_recency_means(done[t])[goal])
                 first = [t for t in range(trials) if t not in reasons][:startup]
-                if i < count - 1 and len(first) == startup and first:
-                    middle = median(curves[t][i] for t in first)
-                    stopped |= {t for t in active if t not in reasons and t not in first and curves[t][i] < middle}
+                if i != numbers[-1] and len(first) == startup and first:
+                    middle = median(curves[t][-1] for t in first)
+                    stopped |= {t for t in active if t not in reasons and t not in first and curves[t][-1] < middle}
         finally:
             pool.close()
     records = []
     for t, params in enumerate(drawn):
-        record = {"trial": t, "params": {k: str(v) for k, v in params.items()}, "folds_run": len(curves[t])}
+        record = {"trial": t, "params": _as_text(params), "folds_run": len(curves[t])}
         if t in reasons:
             records.append({**record, "status": "failed", "failure_reason": reasons[t]})
             continue
@@ -215,37 +250,14 @@ def trial_folds(trials: DataFrame) -> DataFrame:
     return per_fold.unpivot(["trial", "foldCol", "split"], list(METRICS), "metric", "value")
 
 
-def grid_search(
-    df: DataFrame, estimator, grid: list, spec: FeatureSpec, parallelism: int = 1, evaluator=None
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Cross-validation on the fold column over a grid of parameters.
-
-    Each fold is held out in turn and the others train, which differs from
-    :func:`random_search`, where every fold has rows of its own for both.
-    """
-    folds = len(fold_numbers(df))
-    evaluator = evaluator or BinaryClassificationEvaluator(labelCol=spec.label)
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="foldCol",
-        parallelism=parallelism,
-    )
-    with held(df):
-        fitted = search.fit(df)
-    rows = [
-        ({p.name: str(v) for p, v in point.items()}, float(score), float(sd))
-        for point, score, sd in zip(grid, fitted.avgMetrics, fitted.stdMetrics)
-    ]
-    table = df.sparkSession.createDataFrame(rows, "params map<string,string>, mean double, stddev double")
-    return fitted, table.orderBy(F.desc("mean"))
-
-
 def grid_folds(
     df: DataFrame, kind: str, spec: FeatureSpec, grid: Sequence[Mapping], parallelism: int = 1, evaluator=None,
     impute: str = "mean",
 ) -> DataFrame:
-    """:func:`grid_search` over parameters of :func:`make_model`; one row per point, best first.
+    """Cross-validation on the fold column over parameters of :func:`make_model`; one row per point, best first.
 
-    Encoders are fitted once per fold, on the rows that train, and shared by all
+    Each fold is held out in turn and the others train, which differs from
+    :func:`random_search`, where every fold has rows of its own for both. Encoders are fitted once per fold, on the rows that train, and shared by all
     points. A perceptron's first layer is as wide as that fold's vector,
     which is narrower where a rare value is in the held-out fold only.
     """

@@ -8,8 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolag.operators import evaluate, graph, metrics, search
+from aerolag.operators import evaluate, folds, graph, metrics, search
 from aerolag.operators.encode import ShiftNonNegative, encoder_pipeline, vector_slots, vector_width
+from aerolag.operators.ledger import TrialLedger
 from aerolag.operators.models import model_pipeline
 from aerolag.operators.sampling import prepare_test
 from aerolag.plans import inputs, pipeline
@@ -20,7 +21,7 @@ from aerolag.plans.registry import query, rounded
 from aerolag.schema import FeatureSpec
 from aerolag.session import stage_root
 from aerolag.sources.stage import stage_table
-from aerolag.sources.tables import read_many, read_table, records_table, write_csv, write_table
+from aerolag.sources.tables import read_many, read_table, write_csv, write_table
 
 SPEC = FeatureSpec()
 _STAGES: dict[tuple[str, str, str], DataFrame] = {}
@@ -280,11 +281,58 @@ def _(spark, d):
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
-@query("trial_records", sql("""
-    SELECT cast(foldCol AS integer) AS trial, CASE WHEN tp > 0 THEN 'complete' ELSE 'failed' END AS status, tp
-    FROM fold_confusion WHERE split = 'val'""", "fold_confusion"))
+# Two columns that tell late flights apart, for a model that SQL can follow.
+TRIED = FeatureSpec(one_hot=(), binary=(), min_max=("DISTANCE", "ARR_DELAY"), standard=())
+TRIED_SPACE = {"smoothing": search.Choice((0.5, 1e5, 3e6, 1e9, -1.0))}
+TRIALS, STARTUP = 8, 2
+
+
+def _bayes_sql() -> str:
+    """The search's trials by hand: Naive Bayes per trial and fold, and which trials stop where."""
+    drawn = ", ".join(f"({t}, {p['smoothing']!r}::double)" for t, p in enumerate(search.draws(TRIED_SPACE, TRIALS)))
+    both = [f"{s}_{m}" for s in ("train", "val") for m in metrics.METRICS]
+    exact = metrics_sql().replace("round(", "(").replace(", 6)", ")")
+    return f"""{sql('', 'folds')},
+    drawn(trial, smoothing) AS (VALUES {drawn}),
+    plain AS (SELECT foldCol, split, DEP_DEL15 AS y, DISTANCE AS a, ARR_DELAY AS b FROM folds WHERE DEP_DEL15 IS NOT NULL),
+    moves AS (SELECT foldCol, CASE WHEN min(b) < 0 THEN 1 - min(b) ELSE 0 END AS move FROM plain
+      WHERE split = 'train' GROUP BY foldCol),
+    moved AS (SELECT foldCol, split, y, a, greatest(b + move, 0) AS b FROM plain JOIN moves USING (foldCol)),
+    learnt AS (SELECT trial, foldCol, y, ln(n + smoothing) AS prior,
+        ln(sa + smoothing) - ln(sa + sb + 2 * smoothing) AS wa, ln(sb + smoothing) - ln(sa + sb + 2 * smoothing) AS wb
+      FROM (SELECT foldCol, y, count(*) AS n, sum(a) AS sa, sum(b) AS sb FROM moved WHERE split = 'train' GROUP BY ALL), drawn
+      WHERE smoothing >= 0),
+    told AS (SELECT l1.trial, m.foldCol, split, m.y,
+        CASE WHEN l1.prior + a * l1.wa + b * l1.wb > l0.prior + a * l0.wa + b * l0.wb THEN 1 ELSE 0 END AS p
+      FROM moved m JOIN learnt l1 ON l1.foldCol = m.foldCol AND l1.y = 1
+        JOIN learnt l0 ON l0.foldCol = m.foldCol AND l0.y = 0 AND l0.trial = l1.trial),
+    counted AS (SELECT trial, foldCol, split, count(*) FILTER (y = 1 AND p = 1) AS tp, count(*) FILTER (y = 0 AND p = 1) AS fp,
+        count(*) FILTER (y = 1 AND p = 0) AS fn, count(*) FILTER (y = 0 AND p = 0) AS tn FROM told GROUP BY ALL),
+    exact AS (SELECT trial, foldCol, split, {exact} FROM counted),
+    wide AS (SELECT trial, foldCol, {', '.join(
+        f"max({m}) FILTER (split = '{s}') AS {s}_{m}" for s in ('train', 'val') for m in metrics.METRICS)}
+      FROM exact GROUP BY ALL),
+    curves AS (SELECT *, sum(val_fbeta * (foldCol + 1)) OVER upto / sum(foldCol + 1) OVER upto AS goal FROM wide
+      WINDOW upto AS (PARTITION BY trial ORDER BY foldCol)),
+    starters AS (SELECT trial FROM drawn WHERE smoothing >= 0 ORDER BY trial LIMIT {STARTUP}),
+    middles AS (SELECT foldCol, median(goal) AS middle FROM curves WHERE trial IN (FROM starters) GROUP BY foldCol),
+    ends AS (SELECT trial, min(foldCol) AS last FROM curves JOIN middles USING (foldCol)
+      WHERE goal < middle AND foldCol < 7 AND trial NOT IN (FROM starters) GROUP BY trial)
+    SELECT trial, foldCol, 'scored' AS status, CASE WHEN last IS NULL THEN 'complete' ELSE 'pruned' END AS outcome,
+      smoothing, {', '.join(f'round({c}, 6) AS {c}' for c in both)}
+    FROM curves JOIN drawn USING (trial) LEFT JOIN ends USING (trial) WHERE last IS NULL OR foldCol <= last
+    UNION ALL SELECT trial, 0, 'failed', 'failed', smoothing, {', '.join('NULL' for _ in both)}
+    FROM drawn WHERE smoothing < 0"""
+
+
+@query("trial_records", _bayes_sql())
 def _(spark, d):
-    """Bounded driver-side records (one per fold) as a typed table."""
-    rows = fold_metrics(spark, d).filter("split = 'val'").collect()
-    records = [{"trial": r["foldCol"], "status": "complete" if r["tp"] else "failed", "tp": r["tp"]} for r in rows]
-    return records_table(spark, records, spark.createDataFrame([], "trial int, status string, tp bigint").schema)
+    """The ledger of a search: a record per trial and fold, with what became of the trial."""
+    placed = stage_table(folds.assign_folds(inputs.flights(spark, d)), "tried")
+    path = _folder(spark, "trials")
+    trials = search.random_search(
+        placed, "nb", TRIED, trials=TRIALS, space=TRIED_SPACE, startup=STARTUP, parallelism=4, ledger=path)
+    outcome = trials.select("trial", F.col("status").alias("outcome"))
+    kept = [f"{s}_{m}" for s in ("train", "val") for m in metrics.METRICS]
+    records = TrialLedger(spark, path).table().withColumn("smoothing", F.col("params.smoothing").cast("double"))
+    return rounded(records.join(outcome, "trial").select("trial", "foldCol", "status", "outcome", "smoothing", *kept))

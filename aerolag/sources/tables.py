@@ -49,6 +49,11 @@ def records_table(spark: SparkSession, records: Iterable[Mapping], schema: T.Str
     return spark.createDataFrame(rows, schema)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def list_folder(spark: SparkSession, path: str) -> DataFrame:
     """Files under a folder with size and time, without reading their content."""
     return (

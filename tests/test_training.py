@@ -5,6 +5,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from aerolag.operators import encode, evaluate, metrics, models, sampling, search
+from aerolag.operators.ledger import TrialLedger, search_id
 from aerolag.plans import queries_models
 from aerolag.plans.catalog import QUERIES
 from aerolag.schema import FeatureSpec
@@ -162,6 +163,44 @@ def test_search_is_repeatable_and_gives_parameters_back(spark, rows):
     assert isinstance(best["smoothing"], float) and best["impute"] in ("mean", "median")
 
 
+def test_search_goes_on_where_it_stopped(spark, rows, monkeypatch):
+    """A driver lost in the third fold: only what is missing is fitted, and the table is the same."""
+    space = {"smoothing": search.Choice((1.0, -5.0, 2.0, 1e6))}
+    options = {"trials": 6, "space": space, "startup": 2, "parallelism": 2}
+    whole = search.random_search(rows, "nb", SPEC, **options).collect()
+    path = f"{stage_root(spark)}/ledger-{spark.sparkContext.applicationId}"
+    assert TrialLedger(spark, path).table().count() == 0
+    real, fits = search.fit_folds, []
+
+    def breaks(parts, kind, spec, **params):
+        if len(fits) >= limit:
+            raise RuntimeError("driver lost")
+        fits.append(params["smoothing"])
+        return real(parts, kind, spec, **params)
+
+    monkeypatch.setattr(search, "fit_folds", breaks)
+    limit = sum(1 for r in whole if r["status"] == "failed") + 2 * sum(1 for r in whole if r["folds_run"] > 1)
+    with pytest.raises(RuntimeError):
+        search.random_search(rows, "nb", SPEC, ledger=path, **options)
+    before, limit = len(fits), 1000
+    assert search.random_search(rows, "nb", SPEC, ledger=path, **options).collect() == whole
+    recorded = TrialLedger(spark, path).table().count()
+    assert recorded == len(fits) == sum(max(1, r["folds_run"]) for r in whole) > before > 0
+    assert search.random_search(rows, "nb", SPEC, ledger=path, **options).collect() == whole
+    assert len(fits) == recorded
+    # More trials reuse those before; other rows are another search.
+    more = search.random_search(rows, "nb", SPEC, ledger=path, **{**options, "trials": 7})
+    assert more.count() == 7 and len(fits) - recorded == max(1, more.filter("trial = 6").first()["folds_run"])
+    names = {search_id(df, "nb", SPEC, seed=1) for df in (rows, rows.repartition(3), rows.filter("id > 0"))}
+    assert len(names) == 2
+
+
+def test_trial_records_cover_every_outcome(spark):
+    got = QUERIES["trial_records"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["outcome"] for r in got} == {"complete", "pruned", "failed"}
+    assert all((r["val_fbeta"] is None) == (r["status"] == "failed") == (r["outcome"] == "failed") for r in got)
+
+
 def test_grid_covers_perceptrons_and_folds_without_a_value(spark, rows):
     # A carrier that only the last fold has makes the other folds' vectors wider than its own.
     rare = rows.withColumn("carrier", F.when(F.col("id") >= 1490, F.lit("rare")).otherwise(F.col("carrier")))
