@@ -6,7 +6,8 @@ minus place in the text) at most e apart. Shared q-grams are counted in bands of
 2 e + 1 diagonals, of which each begins e + 1 after the last, so every
 occurrence lies in one band. Bands below the bound hold no occurrence; the
 others are aligned, and the region is kept if the edits stay in the budget.
-Texts shorter than q are looked up whole. Parts of a benchmark text do not count.
+q is 8, and less for texts so short that their edits could touch every q-gram of
+8. Texts too short for an edit are looked up whole. Parts of a benchmark text do not count.
 
 Documents are read once per block of benchmark texts, and never shuffled.
 """
@@ -58,53 +59,81 @@ def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
     return wide & np.uint64((1 << (8 * q)) - 1) if q < 8 else wide.copy()
 
 
-def budget(m: int, rate: float = EDIT_RATE, q: int = Q) -> tuple[int, int]:
+def gram_size(m: int, rate: float = EDIT_RATE) -> int:
+    """The longest q-gram, of at most 8, of which a text of m characters keeps one despite its edits."""
+    return max(1, min(Q, m // (int(m * rate) + 1)))
+
+
+def budget(m: int, rate: float = EDIT_RATE) -> tuple[int, int]:
     """(edits allowed, q-grams that must be shared) for a text of m characters.
 
-    Fewer edits are allowed where the rate would leave no q-gram to share, so
-    the bound always selects; texts of fewer than q characters are found by ``short_hits``.
+    Short texts have shorter q-grams, so the bound selects at every length.
     """
-    e = min(int(m * rate), max(0, (m - q) // q))
+    e, q = min(int(m * rate), max(0, m - 1)), gram_size(m, rate)
     return e, m - q + 1 - q * e
 
 
 @dataclass
-class Index:
-    """Q-grams of one block of benchmark texts, sorted, with where each occurs."""
+class Grams:
+    """The q-grams of the texts that have one q, sorted, with where each occurs."""
 
-    ids: list
-    points: list[np.ndarray]
-    edits: np.ndarray
-    bound: np.ndarray
+    q: int
     keys: np.ndarray
     first: np.ndarray
     count: np.ndarray
     item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray
-    # Texts shorter than a q-gram: (length, sorted keys, their items) per length.
+    shift: np.uint64
+
+    def passing(self, keys: np.ndarray) -> np.ndarray:
+        """Which q-grams of a document may be among these."""
+        return self.sieve[(keys * MIX) >> self.shift]
+
+
+@dataclass
+class Index:
+    """One block of benchmark texts and their q-grams."""
+
+    ids: list
+    points: list[np.ndarray]
+    edits: np.ndarray
+    bound: np.ndarray
+    grams: list[Grams]
+    # Texts without edits shorter than a q-gram of 8: (length, sorted keys, their items) per length.
     short: list[tuple[int, np.ndarray, np.ndarray]]
 
 
-def build_index(items: list[tuple[object, str]], rate: float = EDIT_RATE, q: int = Q) -> Index:
-    points = [fold_points(t) for _, t in items]
-    found = [grams(fold(t), q) for _, t in items]
-    key = np.concatenate(found) if found else np.empty(0, np.uint64)
-    item = np.repeat(np.arange(len(items), dtype=np.int32), [len(g) for g in found])
-    place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in found]) if found else np.empty(0, np.int32)
+def _gram_table(items: list[tuple[object, str]], mine: list[int], q: int) -> Grams:
+    found = [grams(fold(items[i][1]), q) for i in mine]
+    key = np.concatenate(found)
+    item = np.repeat(np.array(mine, np.int32), [len(g) for g in found])
+    place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in found])
     order = np.argsort(key, kind="stable")
     keys, first, count = np.unique(key[order], return_index=True, return_counts=True)
-    sieve = np.zeros(1 << SIEVE_BITS, bool)
-    sieve[(keys * MIX) >> np.uint64(64 - SIEVE_BITS)] = True
-    limits = np.array([budget(len(p), rate, q) for p in points] or np.empty((0, 2)), np.int64).reshape(-1, 2)
+    bits = min(SIEVE_BITS, len(keys).bit_length() + 6)
+    sieve, shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+    sieve[(keys * MIX) >> shift] = True
+    return Grams(q, keys, first, count, item[order], place[order], sieve, shift)
+
+
+def build_index(items: list[tuple[object, str]], rate: float = EDIT_RATE) -> Index:
+    points = [fold_points(t) for _, t in items]
+    limits = np.array([budget(len(p), rate) for p in points] or np.empty((0, 2)), np.int64).reshape(-1, 2)
+    by_q: dict[int, list[int]] = {}
+    whole: dict[int, list[int]] = {}
+    for i, p in enumerate(points):
+        if 0 < len(p) < Q and limits[i, 0] == 0:
+            whole.setdefault(len(p), []).append(i)
+        elif len(p):
+            by_q.setdefault(gram_size(len(p), rate), []).append(i)
     short = []
-    for m in sorted({len(p) for p in points if 0 < len(p) < q}):
-        mine = np.array([i for i, p in enumerate(points) if len(p) == m], np.int64)
-        whole = np.concatenate([grams(fold(items[i][1]), m) for i in mine])
-        by_key = np.argsort(whole, kind="stable")
-        short.append((m, whole[by_key], mine[by_key]))
-    return Index([i for i, _ in items], points, limits[:, 0], limits[:, 1], keys, first, count, item[order],
-                 place[order], sieve, short)
+    for m, mine in sorted(whole.items()):
+        keys = np.concatenate([grams(fold(items[i][1]), m) for i in mine])
+        by_key = np.argsort(keys, kind="stable")
+        short.append((m, keys[by_key], np.array(mine, np.int64)[by_key]))
+    tables = [_gram_table(items, mine, q) for q, mine in sorted(by_q.items())]
+    return Index([i for i, _ in items], points, limits[:, 0], limits[:, 1], tables, short)
 
 
 def align(index: Index, whole: np.ndarray, item: np.ndarray, offset: np.ndarray, lo: np.ndarray,
@@ -159,24 +188,27 @@ def align(index: Index, whole: np.ndarray, item: np.ndarray, offset: np.ndarray,
     return edits, start, end
 
 
-def regions(codes: np.ndarray, owner: np.ndarray, index: Index, q: int = Q) -> np.ndarray:
+def regions(codes: np.ndarray, owner: np.ndarray, index: Index) -> np.ndarray:
     """Rows (item, lowest diagonal of a band, shared q-grams) that meet the bound.
 
     ``codes`` holds several documents one after the other, ``owner`` each
     code's document; a q-gram across two documents does not count.
     """
-    mine = grams(codes, q)
-    if not len(mine) or not len(index.keys):
-        return np.empty((0, 3), np.int64)
-    at = np.flatnonzero(index.sieve[(mine * MIX) >> np.uint64(64 - SIEVE_BITS)])
-    at = at[owner[at] == owner[at + q - 1]]
-    slot = np.searchsorted(index.keys, mine[at])
-    slot[slot == len(index.keys)] = 0
-    hit = index.keys[slot] == mine[at]
+    found = [_regions(codes, owner, index, table) for table in index.grams if len(codes) >= table.q]
+    return np.concatenate(found) if found else np.empty((0, 3), np.int64)
+
+
+def _regions(codes: np.ndarray, owner: np.ndarray, index: Index, table: Grams) -> np.ndarray:
+    mine = grams(codes, table.q)
+    at = np.flatnonzero(table.passing(mine))
+    at = at[owner[at] == owner[at + table.q - 1]]
+    slot = np.searchsorted(table.keys, mine[at])
+    slot[slot == len(table.keys)] = 0
+    hit = table.keys[slot] == mine[at]
     at, slot = at[hit], slot[hit]
     out = []
     for lo in range(0, len(at), 1_000_000):  # frequent q-grams occur in many texts
-        out.append(_expand(at[lo:lo + 1_000_000], slot[lo:lo + 1_000_000], index, len(codes)))
+        out.append(_expand(at[lo:lo + 1_000_000], slot[lo:lo + 1_000_000], index, table, len(codes)))
     if not out:
         return np.empty((0, 3), np.int64)
     keys = np.concatenate([k for k, _ in out])
@@ -185,7 +217,7 @@ def regions(codes: np.ndarray, owner: np.ndarray, index: Index, q: int = Q) -> n
     total = np.bincount(inverse, counts, len(merged)).astype(np.int64)
     span = _span(len(codes), index)
     item, band = merged // span, merged % span
-    kept = total >= np.maximum(index.bound[item], 1)
+    kept = total >= index.bound[item]
     item, band = item[kept], band[kept]
     lowest = band * (index.edits[item] + 1) - _shift(index)
     return np.stack([item, lowest, total[kept]], axis=1)
@@ -199,14 +231,14 @@ def _span(n: int, index: Index) -> int:
     return n + 2 * _shift(index) + 2
 
 
-def _expand(at: np.ndarray, slot: np.ndarray, index: Index, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _expand(at: np.ndarray, slot: np.ndarray, index: Index, table: Grams, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Shared q-grams as counts per (item, band); a diagonal lies in up to two bands."""
-    times = index.count[slot]
+    times = table.count[slot]
     total = int(times.sum())
     inner = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
-    where = np.repeat(index.first[slot], times) + inner
-    item = index.item[where].astype(np.int64)
-    diagonal = np.repeat(at, times) - index.place[where] + _shift(index)
+    where = np.repeat(table.first[slot], times) + inner
+    item = table.item[where].astype(np.int64)
+    diagonal = np.repeat(at, times) - table.place[where] + _shift(index)
     band = diagonal // (index.edits[item] + 1)
     key = item * _span(n, index) + band
     both = np.concatenate([key, key - 1])  # a band covers its own step and the next
@@ -232,7 +264,7 @@ def short_hits(whole: np.ndarray, codes: np.ndarray, owner: np.ndarray, index: I
             yield i, p, p + m
 
 
-def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int, int, int, int]]:
+def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int, int]]:
     """(document, item, start, end, edits) of every occurrence in a few documents.
 
     Start and end are code points. Of occurrences of one item that overlap, the
@@ -245,7 +277,7 @@ def occurrences(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, i
     codes = np.where(whole < 128, whole, whole & 127 | 128).astype(np.uint8)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
     wanted = []
-    for item, lowest, _ in regions(codes, owner, index, q).tolist():
+    for item, lowest, _ in regions(codes, owner, index).tolist():
         size, e = len(index.points[item]), int(index.edits[item])
         # A band may touch several documents; each is aligned by itself.
         first = min(max(lowest, 0), len(whole) - 1)
@@ -299,8 +331,8 @@ def find_passages(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
     One row per occurrence, in code points, end exclusive; documents without
     any give none. Null texts hold nothing; benchmark texts that are null or
-    empty are not searched, those shorter than eight characters are found
-    without edits. Rows that repeat on either side are reported each. Empty tables give an empty result.
+    empty are not searched, and those whose length times ``rate`` is below one
+    are found without edits. Rows that repeat on either side are reported each. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     id_kind = docs.schema[id_col].dataType.simpleString()

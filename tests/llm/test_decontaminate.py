@@ -75,6 +75,35 @@ def test_budget_always_selects():
         assert bound >= 1 and e <= m * decontaminate.EDIT_RATE
 
 
+def test_short_texts_are_allowed_a_tenth_too():
+    """Texts of 8 to 45 characters: every occurrence within a tenth of edits, and none beyond."""
+    rng = random.Random(11)
+    for m in range(8, 46):
+        e, bound = decontaminate.budget(m)
+        assert e == m // 10 and bound >= 1
+        items = [(k, "".join(rng.choice("abcdefg hij") for _ in range(m))) for k in range(3)]
+        index = decontaminate.build_index(items)
+        for edits in range(e + 2):
+            for _ in range(6):
+                k, item = rng.choice(items)
+                text = prose(rng, 5) + edited(rng, item, edits) + prose(rng, 5)
+                found = {i: x for _, i, _, _, x in reversed(decontaminate.occurrences([text], index))}
+                for i, (_, other) in enumerate(items):
+                    best = least_edits(other, text)
+                    assert (i in found) == (best <= e), (m, text, other, best)
+
+
+def test_high_rates_leave_a_bound():
+    for rate in (0.0, 0.3, 0.9, 1.0):
+        for m in range(1, 60):
+            e, bound = decontaminate.budget(m, rate)
+            assert e < m and bound >= 1
+    item = "some words in a row"
+    index = decontaminate.build_index([(1, item)], rate=0.3)
+    assert decontaminate.occurrences(["xx s0me wrds iin a r0w yy"], index)[0][4] == 4
+    assert not decontaminate.occurrences(["nothing to see"], index)
+
+
 def test_query_finds_every_exact_passage(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     items = {r.item_id: r.text for r in table(spark, SF, "benchmark").collect()}
