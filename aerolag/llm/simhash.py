@@ -4,17 +4,17 @@ A fingerprint is 64 bits: a bit is set when more than half the hashes of the
 text's word shingles have it. Two fingerprints link at a few differing bits;
 documents are classed by the links' components.
 
-Pivots. The distances of a fingerprint to all pivots form its row in the pivot
-table. If two fingerprints differ in at most d bits, each coordinate differs by
-at most d. Pivots come in two sorts:
-
-* For a block of bits, a pivot and its copies with one bit of the block turned.
-  Differences between their coordinates are fixed by the fingerprint's bits in
-  that block (so the code takes those bits with one AND). With b blocks, d
-  differing bits leave at least b - d blocks alike: pairs are brought together
-  only where these coordinates agree for some choice of b - d blocks.
-* Many random reference fingerprints. Pairs brought together are discarded when
-  any coordinate differs by more than d, and survivors are verified bit by bit.
+Pivot table. Each distinct fingerprint has one row with its Hamming distances to
+16 random reference fingerprints, staged once. If two fingerprints differ in at
+most d bits, each of these coordinates differs by at most d. The table serves twice:
+
+* Bringing together. A range join on the first two coordinates: a fingerprint is
+  put into the cell of each coordinate, and the next cell too if it is within d
+  of it, so any two whose coordinates are within d share a cell. The join's key
+  also holds blocks of the fingerprint's own bits: with b blocks, d differing
+  bits leave at least b - d alike, so some choice of b - d blocks agrees.
+* Discarding. Of the pairs that share a key, those with any of the 16 coordinates more
+  than d apart are dropped, and the survivors are verified bit by bit.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,7 +35,8 @@ from aerolag.sources.stage import Stages
 
 WIDTH = 64
 SEED = 42
-PIVOTS = 16
+PIVOTS = 16  # a multiple of 8, since 8 distances are kept in a long
+NEAR = [f"near{i}" for i in range(PIVOTS // 8)]
 # Rows of one key that a task compares with each other; larger keys are split.
 RUN = 4096
 
@@ -97,10 +98,48 @@ def _signed(mask: int) -> int:
     return mask - (1 << WIDTH) if mask >> (WIDTH - 1) else mask
 
 
-def _join_runs(distance: int, pivots: np.ndarray):
+def pivots() -> list[int]:
+    """The reference fingerprints."""
+    rng = np.random.default_rng(SEED)
+    table = rng.integers(0, 1 << 63, PIVOTS, np.uint64) << np.uint64(1) | rng.integers(0, 2, PIVOTS, np.uint64)
+    return table.tolist()
+
+
+def with_distances(prints: DataFrame) -> DataFrame:
+    """``prints`` with the distances of ``fp`` to the pivots, a byte each, eight to a column."""
+    far = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(p)))).cast("long") for p in pivots()]
+    columns = {}
+    for i, name in enumerate(NEAR):
+        packed = far[8 * i]
+        for j in range(1, 8):
+            packed = packed.bitwiseOR(F.shiftleft(far[8 * i + j], 8 * j))
+        columns[name] = packed
+    return prints.withColumns(columns)
+
+
+def _cells(coordinate: Column, distance: int) -> Column:
+    """Cells of one coordinate, such that values at most ``distance`` apart share one."""
+    width = 2 * (distance + 1)
+    own = F.floor(coordinate / width).cast("int")
+    return F.when(coordinate % width >= width - distance, F.array(own, own + 1)).otherwise(F.array(own))
+
+
+def candidate_keys(table: DataFrame, n: int, distance: int) -> DataFrame:
+    """``table`` once for each key: agreeing bits, and a cell of each of two pivots' distances."""
+    masks = block_masks(n, distance)
+    first = F.col(NEAR[0]).bitwiseAND(F.lit(255))
+    second = F.shiftright(F.col(NEAR[0]), 8).bitwiseAND(F.lit(255))
+    blocks = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("mask", "bits")
+    keys = table.select("fp", *NEAR, blocks).withColumn("one", F.explode(_cells(first, distance)))
+    keys = keys.withColumn("two", F.explode(_cells(second, distance)))
+    return keys.select("fp", *NEAR, F.xxhash64("mask", "bits", "one", "two").alias("key"))
+
+
+def _join_runs(distance: int):
     """Arrow function: rows sorted by run in; star edges of linked fingerprints out."""
-    def links(run: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near = np.stack([np.bitwise_count(fp ^ p) for p in pivots], axis=1).astype(np.int8)
+    def links(run: np.ndarray, signed: np.ndarray, *packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fp = np.ascontiguousarray(signed).view(np.uint64)
+        near = np.concatenate([np.ascontiguousarray(p).view(np.int8).reshape(-1, 8) for p in packed], axis=1)
         root = np.arange(len(fp))
         for shift in range(1, len(fp)):
             left = np.flatnonzero(run[shift:] == run[:-shift])
@@ -124,57 +163,56 @@ def _join_runs(distance: int, pivots: np.ndarray):
         return fp[other].view(np.int64), fp[root[other]].view(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, rest = ["run", "fp"], None
+        names, rest = ["run", "fp", *NEAR], None
         for batch in batches:
             cols = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
             rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols)]
             cut = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0  # the last run may go on
             if cut:
-                a, b = links(rest[0][:cut], rest[1][:cut].view(np.uint64))
+                a, b = links(*[x[:cut] for x in rest])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
                 rest = [x[cut:] for x in rest]
         if rest is not None and len(rest[0]):
-            a, b = links(rest[0], np.ascontiguousarray(rest[1]).view(np.uint64))
+            a, b = links(*rest)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return work
 
 
-def fingerprint_links(distinct: DataFrame, n: int, distance: int = 3, run: int = RUN, pivots: int = PIVOTS) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, n: int, distance: int = 3, run: int = RUN) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs within ``distance``.
 
-    ``distinct``: one column fp without repeats, staged; ``n``: its rows. Rows
+    ``distinct``: a column fp without repeats, and its distances to the pivots,
+    which are added where they are missing; staged. ``n``: its rows. Rows
     that share a key form a run. A key of more than ``run`` rows is cut into
     parts and every two parts (and each part alone) form a run, so a run never
     holds more than about two parts and no pair is lost. Each run gives
     the edges that join its classes, not all its pairs.
     """
-    masks = block_masks(n, distance)
-    keys = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])))
-    keys = keys.select("fp", F.xxhash64("pos", "col").alias("key"))
+    table = distinct if set(NEAR) <= set(distinct.columns) else with_distances(distinct)
+    keys = candidate_keys(table, n, distance)
     large = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > run)
     parts = F.coalesce(F.ceil(F.col("n") / F.lit(run)), F.lit(1)).cast("int")
     dealt = (
         keys.join(large, "key", "left")
-        .select("fp", "key", parts.alias("parts"))
+        .select("fp", *NEAR, "key", parts.alias("parts"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("fp", F.when(F.col("parts") == 1, F.col("key")).otherwise(
+        .select("fp", *NEAR, F.when(F.col("parts") == 1, F.col("key")).otherwise(
             F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("run"))
     )
-    rng = np.random.default_rng(SEED)
-    table = rng.integers(0, 1 << 63, pivots, np.uint64) << np.uint64(1) | rng.integers(0, 2, pivots, np.uint64)
     spread = dealt.repartition(partitions(distinct.sparkSession), "run").sortWithinPartitions("run")
-    return spread.select("run", "fp").mapInArrow(_join_runs(distance, table), "a long, b long")
+    return spread.select("run", "fp", *NEAR).mapInArrow(_join_runs(distance), "a long, b long")
 
 
 def _rooted(prints: DataFrame, stages: Stages, distance: int, run: int) -> tuple[DataFrame, DataFrame]:
     """(fp, least, n, root) of every distinct fingerprint, least id and rows included, and the links."""
-    groups = stages.put(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "groups")
+    groups = prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    groups = stages.put(with_distances(groups), "groups")
     n = groups.count()
-    links = stages.put(fingerprint_links(groups.select("fp"), n, distance, run), "links")
+    links = stages.put(fingerprint_links(groups.select("fp", *NEAR), n, distance, run), "links")
     roots = components(links, stages)
-    rooted = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+    rooted = groups.drop(*NEAR).join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     return stages.put(rooted, "rooted"), links
 

@@ -97,3 +97,24 @@ def test_blocks_are_exact_and_select(n):
         diff = sum({1 << int(b) for b in rng.integers(0, 64, 3)})
         assert any(diff & m == 0 for m in masks)
     assert n > 10**10 or simhash.expected_shared(n, masks) < 8
+
+
+def test_pivots_decide_what_meets(spark):
+    """Distances are right, every close pair shares a key, and fewer pairs do than by blocks of bits alone."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 4).tolist()
+    # Fingerprints alike in the low 40 bits, so that blocks agree and pivots must tell them apart.
+    prints = {(b & (1 << 40) - 1) | int(x) << 40 for b in base for x in rng.integers(0, 2**23, 80)}
+    prints |= {p ^ (1 << 41) ^ (1 << 50) for p in list(prints)[:50]}
+    table = simhash.with_distances(spark.createDataFrame([(p,) for p in prints], "fp long"))
+    for r in table.collect():
+        got = [b for name in simhash.NEAR for b in (r[name] % 2**64).to_bytes(8, "little")]
+        assert got == [(r.fp % 2**64 ^ p).bit_count() for p in simhash.pivots()]
+    met = {}
+    for r in simhash.candidate_keys(table, len(prints), 3).collect():
+        met.setdefault(r.key, set()).add(r.fp)
+    pairs = {(a, b) for group in met.values() for a in group for b in group if a < b}
+    close = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3}
+    masks = simhash.block_masks(len(prints), 3)
+    blocks = {(a, b) for a in prints for b in prints if a < b and any((a ^ b) & m == 0 for m in masks)}
+    assert close and close <= pairs < blocks
