@@ -28,9 +28,9 @@ from aerolag.sources.stage import Stages
 # At most about so many labelled rows are fitted on; beyond it, rows are taken by a hash of their id.
 MAX_ROWS = 200_000
 CALIBRATION_SHARE = 0.25
-TERMS = 20_000  # candidates, by toxic documents that hold them
-LEXICON = 2_000
-LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 4, 0.004, 8.0
+# A term of the lexicon: in so many toxic documents, so many times as often as in others, and by so many
+# standard errors of the log-odds. None of them moves with the number of labels.
+LEAST_DOCS, LEAST_LIFT, LEAST_ERRORS = 4, 8.0, 2.5
 BEGINNINGS = (4, 5)
 NEAR = 5  # words between a lexicon term and a second-person word
 THRESHOLD = 0.7
@@ -139,46 +139,38 @@ def feature_column(text: Column, terms: dict[str, float]) -> Column:
     return run(text)
 
 
-def _document_terms(texts: Iterator[str | None], wanted: frozenset[str] | None) -> Counter:
-    found: Counter = Counter()
-    for text in texts:
-        words = set(WORD.findall((text or "").lower()))
-        terms = {t for w in words for t in terms_of(w)}
-        found.update(terms if wanted is None else terms & wanted)
-    return found
-
-
-def _term_counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """(term, n): documents that hold each term, summed per batch before the shuffle."""
+def _term_counts(rows: DataFrame) -> DataFrame:
+    """(term, bad, good): documents of either label that hold each term, summed per batch before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = _document_terms((t.as_py() for t in batch.column(0)), wanted)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+            found: dict[float, Counter] = {1.0: Counter(), 0.0: Counter()}
+            for text, label in zip(batch.column(0), batch.column(1)):
+                words = set(WORD.findall((text.as_py() or "").lower()))
+                found[label.as_py()].update({t for w in words for t in terms_of(w)})
+            terms = list(found[1.0] | found[0.0])
+            counts = [pa.array([found[label][t] for t in terms], pa.int64()) for label in (1.0, 0.0)]
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *counts], names=["term", "bad", "good"])
 
-    return rows.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", "label").mapInArrow(run, "term string, bad long, good long")
+    return counted.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Terms with their log-odds, from labelled rows (text, label); at most LEXICON of them.
+    """Terms with their log-odds, from labelled rows (text, label).
 
-    Copies of a text count once. A term must be in enough toxic documents, and
-    in a far larger share of them than of the others.
+    Copies of a text count once. A term must be in a few toxic documents, in a far
+    larger share of them than of the others, and by more than chance would make it.
+    All terms are judged, and all that pass are taken: a word as rare among many
+    labels as among few is learned alike.
     """
     rows = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    bad, good = sizes.get(1.0, 0), sizes.get(0.0, 0)
-    least = max(LEAST_DOCS, LEAST_SHARE * bad)
-    common = _term_counts(rows.where("label = 1"), None).where(F.col("n") >= least)
-    held = {r.term: r.n for r in common.orderBy(F.desc("n"), "term").limit(TERMS).collect()}
-    other = {r.term: r.n for r in _term_counts(rows.where("label = 0"), frozenset(held)).collect()}
-    odds = {}
-    for term, n in held.items():
-        share, base = (n + 0.5) / (bad + 1), (other.get(term, 0) + 0.5) / (good + 1)
-        if share >= LEAST_LIFT * base:
-            odds[term] = float(np.log(share / base))
-    best = sorted(odds, key=lambda t: (-odds[t] * held[t], t))[:LEXICON]
-    return {t: odds[t] for t in best}
+    n, other = F.col("bad") + 0.5, F.col("good") + 0.5
+    odds = F.ln(n / (sizes.get(1.0, 0) + 1)) - F.ln(other / (sizes.get(0.0, 0) + 1))
+    found = _term_counts(rows).where(F.col("bad") >= LEAST_DOCS).withColumn("odds", odds)
+    found = found.where((F.col("odds") >= float(np.log(LEAST_LIFT)))
+                        & (F.col("odds") >= LEAST_ERRORS * F.sqrt(1 / n + 1 / other)))
+    return {r["term"]: r["odds"] for r in found.select("term", "odds").orderBy("term").collect()}
 
 
 @dataclass

@@ -72,6 +72,15 @@ def test_bound_on_labels(spark):
     assert toxicity.sampled_labels(many.unionByName(many), "doc_id", "toxic").count() == 5000
 
 
+@pytest.mark.parametrize("n", [40, 4000])
+def test_rare_words_are_learned_at_any_size(spark, n):
+    """A word in five toxic texts and no other, among few labels and among many; words of both labels never."""
+    rows = [(f"common words x{i} {'skrelb' if i < 5 else ''} {'both' if i % 8 == 0 else ''}", 1.0) for i in range(n)]
+    rows += [(f"common words y{i} {'both' if i % 8 == 0 else ''}", 0.0) for i in range(9 * n)]
+    found = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label double"))
+    assert "skrelb" in found and found["skrelb"] > 2 and not {"common", "words", "both", "x1"} & set(found)
+
+
 def test_features():
     lexicon = toxicity.Lexicon({"grub": 3.0, "vile*": 2.0})
     names = dict(zip(toxicity.FEATURES, toxicity.features("You GRUB! vilest gr0ub g.r.u.b stay away, hmmmm", lexicon)))
