@@ -204,6 +204,7 @@ def perceptron_grid(width: int) -> list[dict]:
 
     Step sizes are left out: the default solver does not use one.
     """
+    # Iterations and block sizes of the grid.
     return [
         {"maxIter": n, "blockSize": block, "hidden": (hidden,)}
         for n in (10, 50, 100) for block in (64, 128, 256) for hidden in (width // 4, width // 2, width)
