@@ -162,6 +162,46 @@ def test_cells_with_many_stations_are_quartered(spark):
         assert got[a["airport"]] == pytest.approx(min(_km(tuple(a), s) for s in stations), abs=2e-6)
 
 
+def test_sites_walk_as_blocks(spark, monkeypatch):
+    """Sites of one town descend the grid together: the walk has far fewer rows than there are sites."""
+    k = F.col("id")
+    town = lambda name, n: spark.range(n).select(
+        k.alias(name), (F.lit(40.0) + (k * 7919 % 10007) * 3e-6).alias("lat"), (F.lit(-73.0) + (k * 104729 % 10009) * 3e-6).alias("lon"))
+    walked, real = [], spatial.stage_table
+
+    def staged(df, label="stage"):
+        out = real(df, label)
+        if label == "walk":
+            walked.append(out.count())
+        return out
+
+    monkeypatch.setattr(spatial, "stage_table", staged)
+    assert spatial.nearest_station(town("airport", 10_000), town("station", 3000)).count() == 10_000
+    assert walked and max(walked) < 2000
+
+
+@pytest.mark.parametrize("leaf_places", [1, 4])
+def test_nearest_far_from_clusters(spark, leaf_places):
+    """Clusters at a pole, at the date line and in a town, seen from within, from near and from afar."""
+    rng = random.Random(leaf_places)
+    middles = [(89.98, 30.0), (-17.0, 179.999), (51.5, 0.0)]
+    stations = [(i, max(-90.0, min(90.0, la + rng.gauss(0, 0.01))), (lo + rng.gauss(0, 0.01) + 180) % 360 - 180)
+                for i, (la, lo) in enumerate(middles * 40)]
+    airports = []
+    for i in range(150):
+        (la, lo), spread = middles[i % 3], (0.01, 1.0, 60.0)[i // 3 % 3]
+        airports.append((i, max(-90.0, min(90.0, la + rng.gauss(0, spread))), (lo + rng.gauss(0, spread) + 180) % 360 - 180))
+    airports += [(200, None, 1.0), (201, 0.0, 180.0), (202, 0.0, -180.0), (203, -90.0, 5.0)]
+    schema = "{} long, lat double, lon double"
+    got = {r["airport"]: r["distance_km"] for r in spatial.nearest_station(
+        spark.createDataFrame(airports, schema.format("airport")), spark.createDataFrame(stations, schema.format("station")),
+        leaf_places=leaf_places).collect()}
+    assert got.keys() == {a[0] for a in airports if a[1] is not None}
+    for a in airports:
+        if a[1] is not None:
+            assert got[a[0]] == pytest.approx(min(_km(a, s) for s in stations), abs=2e-6)
+
+
 def test_no_stations(spark):
     none = spark.createDataFrame([(1, None, 0.0)], "station long, lat double, lon double")
     sites = spark.createDataFrame([(1, 1.0, 2.0)], "airport long, lat double, lon double")
