@@ -38,6 +38,9 @@ _CLASSES = {
     "rf": RandomForestClassifier, "gbt": GBTClassifier,
 }
 SEED = 42
+# How trees are grown, not what they become: the node that each row has reached is kept
+# with it, or every level would send all trees out and lead each row down again from their roots.
+_GROWING = {"rf": {"cacheNodeIds": True}}
 
 
 def scaling_for(kind: str) -> str:
@@ -49,7 +52,7 @@ def make_model(kind: str, spec: FeatureSpec, width: int | None = None, **params)
 
     Perceptrons take ``hidden`` layer sizes and need the vector ``width``.
     """
-    settings = {**BEST[kind], **params}
+    settings = {**_GROWING.get(kind, {}), **BEST[kind], **params}
     if "hidden" in settings:
         hidden: Sequence[int] = settings.pop("hidden")
         if width is None:

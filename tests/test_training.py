@@ -254,3 +254,11 @@ def test_perceptron_encoders_are_fitted_once(spark, rows):
     stages = models.model_pipeline("mlp1", SPEC, rows).getStages()
     assert isinstance(stages[-1], Estimator) and not any(isinstance(s, Estimator) for s in stages[:-1])
     assert any(isinstance(s, Estimator) for s in models.model_pipeline("lr", SPEC, rows).getStages()[:-1])
+
+
+def test_forest_keeps_the_nodes_of_rows(spark, rows):
+    """Rows are not led down from the roots at every level; the trees are those of a plain forest."""
+    encoded = encode.encoder_pipeline(SPEC).fit(rows).transform(rows)
+    keeps, plain = (models.make_model("rf", SPEC, **o) for o in ({}, {"cacheNodeIds": False}))
+    assert keeps.getCacheNodeIds() and not plain.getCacheNodeIds()
+    assert keeps.fit(encoded).toDebugString.split("\n")[1:] == plain.fit(encoded).toDebugString.split("\n")[1:]
