@@ -20,7 +20,7 @@ from aerolag.plans.queries_training import fold_metrics
 from aerolag.plans.registry import query, rounded
 from aerolag.schema import FeatureSpec
 from aerolag.session import stage_root
-from aerolag.sources.stage import stage_table
+from aerolag.sources.stage import held, stage_table
 from aerolag.sources.tables import read_many, read_table, write_csv, write_table
 
 SPEC = FeatureSpec()
@@ -175,7 +175,8 @@ query("lr_fit_score")(_fit_score("lr", threshold=0.5))
 @query("model_threshold_sweep")
 def _(spark, d):
     train = training_rows(spark, d)
-    fitted = model_pipeline("lr", SPEC, train).fit(train)
+    with held(train):
+        fitted = model_pipeline("lr", SPEC, train).fit(train)
     scored = metrics.positive_probability(fitted.transform(held_out(spark, d)))
     return rounded(metrics.threshold_sweep(scored, [0.5, 0.6, 0.7], SPEC.label))
 
@@ -183,7 +184,8 @@ def _(spark, d):
 @query("ranking_scores")
 def _(spark, d):
     train = training_rows(spark, d)
-    fitted = model_pipeline("lr", SPEC, train).fit(train)
+    with held(train):
+        fitted = model_pipeline("lr", SPEC, train).fit(train)
     found = metrics.ranking_scores(fitted.transform(held_out(spark, d)), SPEC.label)
     return spark.createDataFrame(list(found.items()), "metric string, value double")
 
@@ -236,26 +238,32 @@ def _(spark, d):
 @query("feature_importance")
 def _(spark, d):
     train = training_rows(spark, d)
-    fitted = model_pipeline("rf", SPEC, train).fit(train)
+    with held(train):
+        fitted = model_pipeline("rf", SPEC, train).fit(train)
     return evaluate.model_importance(fitted, train, SPEC)
 
 
 @query("coefficient_importance")
 def _(spark, d):
     train = training_rows(spark, d)
-    return evaluate.model_importance(model_pipeline("lr", SPEC, train).fit(train), train, SPEC)
+    with held(train):
+        fitted = model_pipeline("lr", SPEC, train).fit(train)
+    return evaluate.model_importance(fitted, train, SPEC)
 
 
 @query("class_probability_importance")
 def _(spark, d):
     train = training_rows(spark, d)
-    return evaluate.model_importance(model_pipeline("nb", SPEC, train).fit(train), train, SPEC)
+    with held(train):
+        fitted = model_pipeline("nb", SPEC, train).fit(train)
+    return evaluate.model_importance(fitted, train, SPEC)
 
 
 @query("permutation_importance")
 def _(spark, d):
     train = training_rows(spark, d)
-    fitted = model_pipeline("mlp1", SPEC, train).fit(train)
+    with held(train):
+        fitted = model_pipeline("mlp1", SPEC, train).fit(train)
     return evaluate.permutation_importance(fitted, held_out(spark, d), SPEC, list(SPEC.features))
 
 
