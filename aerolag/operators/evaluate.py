@@ -99,11 +99,29 @@ FOLD_SCHEMA = (
 
 def cross_validate(df: DataFrame, kind: str, spec: FeatureSpec, impute: str = "mean", **params) -> DataFrame:
     """Metrics per fold and split."""
-    df = df.filter(F.col(spec.label).isNotNull())
+    return cross_validate_specs(df, kind, [spec], impute, **params)[0]
+
+
+def cross_validate_specs(
+    df: DataFrame, kind: str, specs: Sequence[FeatureSpec], impute: str = "mean", **params
+) -> list[DataFrame]:
+    """:func:`cross_validate` for several choices of features of the same rows.
+
+    Encoders and models read their rows a dozen times. The rows of one fold are held
+    apart from the others while all choices are fitted on them, so each reading costs by that fold and not by the table.
+    """
+    df = df.filter(F.col(specs[0].label).isNotNull())
     spark = df.sparkSession
+    done: list[list[dict]] = [[] for _ in specs]
     with held(df):
-        done = fit_folds(encoded_folds(df, spec, impute, scaling_for(kind)), kind, spec, **params)
-    return records_table(spark, done, spark.createDataFrame([], FOLD_SCHEMA).schema)
+        for i in fold_numbers(df):
+            mine = df.filter(F.col("foldCol") == i)
+            with held(mine):
+                for found, spec in zip(done, specs):
+                    part = encoded_fold(mine, i, spec, impute, scaling_for(kind))
+                    found += [{**r, "foldCol": i} for r in fit_folds([part], kind, spec, **params)]
+    schema = spark.createDataFrame([], FOLD_SCHEMA).schema
+    return [records_table(spark, found, schema) for found in done]
 
 
 def model_importance(fitted: PipelineModel, sample: DataFrame, spec: FeatureSpec) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.operators.encode import encoder_pipeline, vector_width
-from aerolag.operators.evaluate import cross_validate, encoded_fold, fit_folds
+from aerolag.operators.evaluate import cross_validate_specs, encoded_fold, fit_folds
 from aerolag.operators.ledger import TrialLedger, search_id
 from aerolag.operators.metrics import METRICS, weighted_fold_mean
 from aerolag.operators.models import make_model, scaling_for
@@ -293,10 +293,14 @@ def forward_groups(
     df: DataFrame, kind: str, spec: FeatureSpec, groups: Mapping[str, Sequence[str]] | None = None, **params
 ) -> DataFrame:
     """Recency-weighted metrics as groups of features are added in order."""
-    table, used = None, []
-    for step, (name, members) in enumerate((groups or FEATURE_GROUPS).items()):
-        used += [c for c in members if c in spec.features]
-        means = weighted_fold_mean(cross_validate(df, kind, spec.only(*used), **params))
-        row = means.select(F.lit(step).alias("step"), F.lit(name).alias("added"), F.lit(len(used)).alias("columns"), "*")
+    steps, used = [], []
+    for name, members in (groups or FEATURE_GROUPS).items():
+        used = used + [c for c in members if c in spec.features]
+        steps.append((name, used))
+    found = cross_validate_specs(df, kind, [spec.only(*used) for _, used in steps], **params)
+    table = None
+    for step, ((name, used), records) in enumerate(zip(steps, found)):
+        row = weighted_fold_mean(records).select(
+            F.lit(step).alias("step"), F.lit(name).alias("added"), F.lit(len(used)).alias("columns"), "*")
         table = row if table is None else table.unionByName(row)
     return table.orderBy("step", "split")

@@ -276,3 +276,17 @@ def test_importance_holds_training_rows_while_fitting(spark, rows, monkeypatch,
     assert QUERIES[name](spark, "").count() > 0
     assert seen and all(seen)
     assert not rows.filter("foldCol < 9").storageLevel.useMemory
+
+
+def test_fold_is_held_apart_for_all_choices(spark, rows, monkeypatch):
+    """The rows of a fold are held once, however many groups are tried, and the figures are those of each choice alone."""
+    held, real = [], evaluate.held
+    monkeypatch.setattr(evaluate, "held", lambda *frames: held.extend(frames) or real(*frames))
+    specs = [SPEC.only("x"), SPEC]
+    both = evaluate.cross_validate_specs(rows, "lr_baseline", specs)
+    assert len(held) == 1 + 3
+    assert [{r["foldCol"] for r in f.select("foldCol").distinct().collect()} for f in held[1:]] == [{0}, {1}, {2}]
+    for spec, table in zip(specs, both):
+        alone = evaluate.fit_folds(evaluate.encoded_folds(rows, spec), "lr_baseline", spec)
+        assert [r.asDict() for r in table.orderBy("foldCol", "split").collect()] == [
+            {k: r[k] for k in table.columns} for r in sorted(alone, key=lambda r: (r["foldCol"], r["split"]))]
