@@ -213,6 +213,31 @@ def test_grid_covers_perceptrons_and_folds_without_a_value(spark, rows):
         "maxIter": {10, 50, 100}, "blockSize": {64, 128, 256}, "hidden": {(21,), (42,), (84,)}}
 
 
+def test_grid_fits_rows_in_few_partitions_whatever_their_layout(spark, rows, monkeypatch):
+    """Each iteration is a job: rows must not come in more tasks than they fill, nor with the plan that made them."""
+    seen = []
+    real = search.make_model
+
+    class Watched:
+        def __init__(self, model):
+            self.model = model
+
+        def fit(self, df):
+            rdd = df.rdd
+            seen.append((df.count(), rdd.getNumPartitions(), rdd.toDebugString().decode().count("ShuffledRowRDD")))
+            return self.model.fit(df)
+
+    monkeypatch.setattr(search, "make_model", lambda *a, **p: Watched(real(*a, **p)))
+    monkeypatch.setattr(search, "DEALT_ROWS", 500)
+    grid = [{"maxIter": n, "blockSize": 64, "hidden": (2,)} for n in (3, 20)]
+    found = [
+        {r["params"]["maxIter"]: r["mean"] for r in search.grid_folds(df, "mlp1", SPEC, grid).collect()}
+        for df in (rows.repartition(7), rows.coalesce(1))
+    ]
+    assert found[0] == pytest.approx(found[1], abs=1e-9) and set(found[0]) == {"3", "20"}
+    assert all(parts == -(-n // 500) and shuffles >= 1 for n, parts, shuffles in seen)
+
+
 def test_query_searches_whole_grid_and_all_trials(spark, rows, monkeypatch):
     seen = {}
     monkeypatch.setattr(queries_models, "training_rows", lambda s, d: rows)
