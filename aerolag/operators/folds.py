@@ -89,6 +89,23 @@ def assign_folds(
         )
         for i, (start, val, end) in enumerate(ranges)
     ]))
+    # Rows between two neighbouring edges lie in the same folds, so a row with a time is
+    # led to its place by halving the edges. Edges without an id do not halve the rows.
+    if all(keys[p][1] is not None for p in edges):
+        constant = [
+            F.array(*[F.struct(F.lit(i).alias("fold"), F.lit("val" if at >= val else "train").alias("split"))
+                      for i, (start, val, end) in enumerate(ranges) if start <= at < end])
+            for at in (0, *edges)
+        ]
+
+        def between(low: int, high: int) -> Column:
+            """The folds of a row known to lie in one of these stretches."""
+            if low == high:
+                return constant[low]
+            middle = (low + high + 1) // 2
+            return F.when(from_edge(edges[middle - 1]), between(middle, high)).otherwise(between(low, middle - 1))
+
+        places = F.when(F.col(order).isNotNull(), between(0, len(edges))).otherwise(places)
     return df.withColumn("__place", F.explode(places)).select(
         *df.columns, F.col("__place.fold").alias("foldCol"), F.col("__place.split").alias("split")
     )

@@ -14,6 +14,10 @@ from aerolag.sources.stage import Stages, stage_table
 
 # Spark refuses tables of more buckets.
 MAX_BUCKETS = 100_000
+# Columns that lags and the choice among them read, as they are called by default.
+READ_BY_LAGS = {
+    AIRCRAFT, "FLIGHT_ID", "CRS_DEP_DATETIME_UTC", "ARR_DATETIME_UTC", "ARR_DELAY", "DEP_DATETIME_UTC", "DEP_DELAY",
+}
 
 
 def add_utc_times(df: DataFrame, offsets: DataFrame, arrival_rule: str = "actual") -> DataFrame:

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolag.operators.joins import lookup_join
 from aerolag.operators.weather import binarise
 from aerolag.schema import IDENTITY_COLUMNS, LABEL
+from aerolag.sources.stage import stage_table
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> tuple[int, int]:
@@ -51,6 +53,23 @@ def drop_copies(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(keys)) if keys else df.dropDuplicates()
 
 
+def drop_rare_copies(df: DataFrame, keys: Sequence[str], row_id: str, ids: DataFrame) -> DataFrame:
+    """:func:`drop_copies` by ``keys``, one of them ``row_id``, where few ids of ``ids`` repeat.
+
+    ``ids`` holds the id of each row before rows were taken several times, at least once for each copy.
+    The ids that repeat there are found first, from that one column. Only their rows, and
+    those without an id, are shuffled to drop copies; all others stay where they lie.
+    """
+    repeated = stage_table(
+        ids.groupBy(row_id).count().filter("count > 1").select(row_id, F.lit(True).alias("repeated")), "repeated-ids")
+    if repeated.isEmpty():
+        return df
+    marked = lookup_join(df, repeated.filter(F.col(row_id).isNotNull()), {row_id: row_id}, {"repeated": "__repeated"})
+    copied = F.col(row_id).isNull() | F.col("__repeated").isNotNull()
+    alone, copies = marked.filter(~copied).drop("__repeated"), marked.filter(copied).drop("__repeated")
+    return alone.unionByName(drop_copies(copies, keys))
+
+
 def time_holdout(df: DataFrame, test_year: int) -> tuple[DataFrame, DataFrame]:
     """Rows of other years, and rows of the test year."""
     return df.filter(F.col("YEAR") != test_year), df.filter(F.col("YEAR") == test_year)

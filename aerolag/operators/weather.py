@@ -22,8 +22,16 @@ class PackedField:
     scale: int
     missing: str | None
 
+    @property
+    def raw(self) -> str:
+        """Name that the subfield's text has while it is parsed."""
+        return f"__raw_{self.name}"
+
+    def text(self) -> Column:
+        return F.split_part(F.col(self.source), F.lit(","), F.lit(self.index + 1))
+
     def column(self) -> Column:
-        raw = F.get(F.split(F.col(self.source), ","), F.lit(self.index))
+        raw = F.col(self.raw)
         number = raw.try_cast("double")
         if self.scale != 1:
             number = number / self.scale
@@ -64,10 +72,13 @@ REPORT_TYPES = ("FM-15", "SOA")
 def parse_packed(df: DataFrame, sentinels: str = "isd", rules: Sequence[PackedField] | None = None) -> DataFrame:
     """Replace the packed strings by one number column per subfield.
 
-    Short strings and unreadable numbers give null.
+    Short strings and unreadable numbers give null. The texts of the subfields are
+    columns of their own first: a text that is both compared and read is cut out once.
     """
     fields = rules or RULES[sentinels]
-    return df.withColumns({f.name: f.column() for f in fields}).drop(*{f.source for f in fields})
+    cut = df.withColumns({f.raw: f.text() for f in fields})
+    return cut.withColumns({f.name: f.column() for f in fields}).drop(
+        *{f.source for f in fields}, *[f.raw for f in fields])
 
 
 def band_flags(df: DataFrame, col: str = "ceiling_height", edges: tuple[int, int] = (10000, 20000)) -> DataFrame:

@@ -70,11 +70,13 @@ def build_features(
     table = weather.parse_packed(flights, sentinels)
     table = weather.present_count(weather.band_flags(table))
     table = history.add_utc_times(table, offsets, arrival_rule)
+    wanted = {*spec.features, spec.label, spec.row_id, *IDENTITY_COLUMNS, "DEP_TS", season}
+    if not keep_helpers:  # what nothing reads any more is not shuffled and written for the lags
+        table = table.select(*[c for c in table.columns if c in wanted | history.READ_BY_LAGS])
     table = history.pick_history(history.lag_features(table), guard=guard)
     table = enrich.join_volume(table, volume)
     table = enrich.flag_near_dates(table, holidays)
     table = enrich.join_centrality(table, centrality, season)
-    wanted = {*spec.features, spec.label, spec.row_id, *IDENTITY_COLUMNS, "DEP_TS", season}
     return table if keep_helpers else table.select(*[c for c in table.columns if c in wanted])
 
 
@@ -96,10 +98,11 @@ def build_training(
         usable = usable.filter("pagerank is not null")
     placed = folds.assign_folds(usable, order, spec.row_id, k)
     balanced = weather.binarise(sampling.undersample(placed, spec.label, spec.row_id))
-    keys = [spec.row_id, "foldCol"]
     if copies == "full_row":
         keys = [c for c in balanced.columns if c not in (*IDENTITY_COLUMNS, spec.row_id, order)]
-    cleaned = sampling.drop_copies(balanced, keys)
+        cleaned = sampling.drop_copies(balanced, keys)
+    else:
+        cleaned = sampling.drop_rare_copies(balanced, [spec.row_id, "foldCol"], spec.row_id, usable)
     if not trim:
         return cleaned
     if trim_mode == "sequential":  # each column's quartiles read the rows anew

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from aerolag.operators import folds, history, sampling
 from aerolag.plans import pipeline
 from aerolag.schema import FLIGHTS_SCHEMA, FeatureSpec
 from aerolag.sources.stage import stage_table
@@ -92,3 +93,43 @@ def test_cleaning_modes(spark, flights, lookups, mode, copies):
     keys = ["FLIGHT_ID", "foldCol"] if copies == "row_id" else [
         c for c in rows.columns if c not in ("ORIGIN", "DEST", "FL_DATE", "CANCELLED", "YEAR", "FLIGHT_ID", "DEP_TS")]
     assert rows.dropDuplicates(keys).count() == rows.count()
+
+
+def test_only_copies_are_shuffled_to_drop_them(spark):
+    """Ids that repeat, and rows without an id, lose their copies; a table without copies stays as it lies."""
+    ids = [1, 2, 2, 3, None, None, 4, 4, 4]
+    rows = [(i, fold, "x") for fold in (0, 1) for i in ids]
+    df = spark.createDataFrame(rows, "id long, foldCol int, v string").repartition(5)
+    source = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = sampling.drop_rare_copies(df, ["id", "foldCol"], "id", source)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.dropDuplicates(["id", "foldCol"]).collect()))
+    assert "Aggregate" not in sampling.drop_rare_copies(
+        df.filter("id = 1"), ["id", "foldCol"], "id", source.filter("id = 1"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_places_of_folds_by_hand(spark):
+    """Rows in order, some without a time, cut by position; equal times are told apart by id."""
+    rows = [(i, None if i < 7 else f"2024-01-01 {i // 13 % 24:02d}:00:00") for i in range(260)]
+    df = spark.createDataFrame(rows, "FLIGHT_ID long, t string").select(
+        "FLIGHT_ID", F.col("t").cast("timestamp_ntz").alias("DEP_TS")).repartition(4)
+    placed = folds.assign_folds(df, k=4).collect()
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[0]))
+    want = sorted(
+        (order[p][0], i, "val" if p >= val else "train")
+        for i, (start, val, end) in enumerate(folds.fold_ranges(len(rows), 4)) for p in range(start, end))
+    assert sorted((r["FLIGHT_ID"], r["foldCol"], r["split"]) for r in placed) == want
+
+
+def test_columns_that_nothing_reads_are_not_carried_into_the_history(spark, flights, monkeypatch):
+    seen = []
+    real = history.lag_features
+    monkeypatch.setattr(history, "lag_features", lambda df, *a, **o: seen.append(df.columns) or real(df, *a, **o))
+    more = pipeline.prepare_flights(flights).withColumn("note", F.lit("of no use"))
+    holidays = spark.createDataFrame([(dt.date(2022, 8, 4),)], "date date")
+    offsets = spark.createDataFrame([(i, float(i)) for i in range(6)], "ORIGIN_AIRPORT_ID int, UTC_offset_hours double")
+    lean = pipeline.build_features(more, holidays, offsets)
+    full = pipeline.build_features(more, holidays, offsets, keep_helpers=True)
+    assert not {"note", "UTC_offset", "ceiling_height"} & set(seen[0]) and "note" in seen[1]
+    assert lean.columns == [c for c in full.columns if c in lean.columns] and "note" not in lean.columns
+    assert sorted(map(str, lean.collect())) == sorted(map(str, full.select(lean.columns).collect()))
