@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from aerolag.operators import encode, evaluate, metrics, models, sampling, search
+from aerolag.operators import encode, evaluate, metrics, models, perceptrons, sampling, search
 from aerolag.operators.ledger import TrialLedger, search_id
 from aerolag.plans import queries_models
 from aerolag.plans.catalog import QUERIES
@@ -238,6 +239,61 @@ def test_grid_fits_rows_in_few_partitions_whatever_their_layout(spark, rows, mon
     assert all(parts == -(-n // 500) and shuffles >= 1 for n, parts, shuffles in seen)
 
 
+def test_perceptrons_fitted_together_are_those_of_spark(spark, rows, monkeypatch):
+    """Every point of a grid gets the weights that a fit of its own gives, with short last blocks and any number of layers."""
+    encoded = encode.encoder_pipeline(SPEC).fit(rows).transform(rows)
+    dealt = search._dealt(encoded, SPEC, 4 * search.DEALT_ROWS).cache()
+    one = spark.createDataFrame(dealt.limit(1).collect(), dealt.schema)
+    grid = [{"maxIter": n, "blockSize": block, "hidden": hidden}
+            for n in (0, 3, 12) for block in (1, 64, 2000) for hidden in ((3,), (4, 3, 2))]
+    tried = [models.make_model("mlp1", SPEC, encode.vector_width(encoded), **point) for point in grid]
+    assert all(perceptrons.fits_together(m) for m in tried) and not perceptrons.fits_together(tried[0].copy().setSolver("gd"))
+    assert perceptrons.weights_of_all([], dealt, one) == []
+    alone = [m.fit(dealt).weights.toArray() for m in tried]
+    together = perceptrons.weights_of_all(tried, dealt, one)
+    monkeypatch.setattr(perceptrons, "FEW_PARTITIONS", 1)
+    added_by_tasks = perceptrons.weights_of_all(tried[:6], dealt, one)
+    for point, a, b in [*zip(grid, alone, together), *zip(grid, alone, added_by_tasks)]:
+        assert b == pytest.approx(a, rel=1e-6, abs=1e-8), point
+    model = perceptrons.scorer(tried[-1], together[-1], one)
+    assert model.weights.toArray().tolist() == together[-1].tolist()
+    with pytest.raises(Exception, match="whole numbers"):
+        perceptrons.weights_of_all(tried[:1], dealt.withColumn("y", F.lit(2.0)), one)
+
+
+def test_line_search_that_fails_ends_a_way():
+    """Losses that never fall: once more along the slope, then the weights stay, as for a loss that is flat at once."""
+    def walked(loss):
+        walk = perceptrons._descend(np.ones(2), [0, 4], 1e-6)
+        at = next(walk)
+        for n in range(500):
+            try:
+                at = walk.send(loss(n, at))
+            except StopIteration as end:
+                return end.value, n
+
+    stuck, asked = walked(lambda n, at: (float(n), np.ones(2)))
+    assert asked > 10 and stuck[4].tolist() == [1.0, 1.0]
+    flat, asked = walked(lambda n, at: (1.0, np.zeros(2)))
+    assert asked == 0 and flat[4].tolist() == [1.0, 1.0]
+    bowl, _ = walked(lambda n, at: (float(at @ at), 2 * at))
+    assert bowl[0].tolist() == [1.0, 1.0] and abs(bowl[4]).max() < 1e-6
+
+
+def test_grid_takes_a_step_of_all_perceptrons_per_job(spark, rows):
+    """A job per step and point kept a grid from ending: points of a fold share theirs."""
+    grid = [{"maxIter": n, "blockSize": block, "hidden": (2,)} for n in (5, 20, 40) for block in (32, 64, 128, 256)]
+    spark.sparkContext.setJobGroup("grid-steps", "grid")
+    try:
+        got = search.grid_folds(rows, "mlp1", SPEC, grid, parallelism=2).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {tuple(sorted(r["params"].items())) for r in got} == {
+        tuple(sorted((k, str(v)) for k, v in point.items())) for point in grid}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("grid-steps"))
+    assert 0 < jobs < 3 * sum(point["maxIter"] for point in grid) * 0.7
+
+
 def test_query_searches_whole_grid_and_all_trials(spark, rows, monkeypatch):
     seen = {}
     monkeypatch.setattr(queries_models, "training_rows", lambda s, d: rows)
