@@ -64,8 +64,6 @@ def pagerank(
         else:
             ranks = _settle(stages, links, vertices, by, reset, tol, max_iter, steps_per_stage)
         ranks = stages.keep(ranks)
-    if tol is not None:  # what is left to pass on, at most tol, is nearer the settled rank than nothing
-        ranks = ranks.withColumn("rank", F.col("rank") + F.col("rest"))
     totals = ranks.groupBy(*by).agg(
         (F.count("*") / F.sum("rank")).alias("scale"), F.max("last").cast("int").alias("steps"))
     return ranks.join(totals, by).select(*by, "id", (F.col("rank") * F.col("scale")).alias("pagerank"), "steps")
